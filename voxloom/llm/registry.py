@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import decontaminate, line_dedup
+from voxloom.llm import decontaminate, line_dedup, packing, quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query for each operator."""
     return {
         "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op3_packing": packing.op3_packing,
         "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op8_quality_rules": quality_rules.op8_quality_rules,
     }
 
 
