@@ -60,7 +60,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     ranged = lines.repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", F.desc("doc_id"), "pos")
     held = ranged.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("pos"))
     heads = held.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("first_doc"))
-    repeated = heads.where(F.col("n_docs") >= min_docs).drop("n_docs")
+    # written, so that the join below has a plain exchange on both sides and adaptive execution can split a hot key
+    repeated = Scratch.write(heads.where(F.col("n_docs") >= min_docs).drop("n_docs"), "repeated")
     lost = lines.join(repeated, ["h1", "h2"]).where("doc_id <> first_doc").select("doc_id", "pos")
     sets = lost.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
     return sets.select(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import decontaminate, line_dedup, packing, quality_rules
+from voxloom.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,10 +15,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_packing": packing.op3_packing,
         "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op7_jaccard_join": jaccard_join.op7_jaccard_join,
         "op8_quality_rules": quality_rules.op8_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL with the same rows as the query of that name."""
-    return {"op2_line_dedup": line_dedup.ORACLE, "op4_decontaminate": decontaminate.ORACLE}
+    return {"op2_line_dedup": line_dedup.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op7_jaccard_join": jaccard_join.ORACLE}
