@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
+from voxloom.llm import decontaminate, jaccard_join, line_dedup, packing, private_data, quality_rules, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_packing": packing.op3_packing,
         "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op5_private_data": private_data.op5_private_data,
+        "op6_sharding": sharding.op6_sharding,
         "op7_jaccard_join": jaccard_join.op7_jaccard_join,
         "op8_quality_rules": quality_rules.op8_quality_rules,
     }
