@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -10,9 +13,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def share_package(spark: SparkSession) -> SparkSession:
+    """Lets Python workers on machines that see this folder import the package without further settings."""
+    root = str(Path(__file__).resolve().parent.parent)
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def local_session(cpus: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
     """A local session with the settings that tests and benchmarks use."""
-    return (
+    return share_package(
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("voxloom")
         .config("spark.driver.memory", memory)
