@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import decontaminate, jaccard_join, line_dedup, packing, private_data, quality_rules, sharding
+from voxloom.llm import decontaminate, jaccard_join, language_model, line_dedup, packing, private_data, quality_rules, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_sharding": sharding.op6_sharding,
         "op7_jaccard_join": jaccard_join.op7_jaccard_join,
         "op8_quality_rules": quality_rules.op8_quality_rules,
+        "op9_language_model": language_model.op9_language_model,
     }
 
 

@@ -19,17 +19,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, where each text's words begin and the last end)."""
+def coded_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, the code of each word in order, where each text's
+    codes begin and the last end)."""
     parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     coded, starts = parts.flatten().dictionary_encode(), parts.offsets.to_numpy()
-    words = coded.dictionary.to_pylist()
-    by_word = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-    which = coded.indices.to_numpy()
+    words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
     if "" in words:
         real = which != words.index("")
         ends = np.concatenate([[0], np.cumsum(real)])
         which, starts = which[real], ends[starts]
+    return words, which, starts
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word in order, where each text's words begin and the last end)."""
+    words, which, starts = coded_words(texts)
+    by_word = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
     return by_word[which], starts
 
 
