@@ -1 +1 @@
-"""Part of voxloom."""
+"""Functions of the engine."""

@@ -1 +1 @@
-"""Part of voxloom."""
+"""Operators of the engine."""

@@ -1 +1 @@
-"""Part of voxloom."""
+"""Plans of the engine."""

@@ -1 +1 @@
-"""Part of voxloom."""
+"""Sources of the engine."""

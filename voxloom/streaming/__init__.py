@@ -1 +1 @@
-"""Part of voxloom."""
+"""Streaming of the engine."""
