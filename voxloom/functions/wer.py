@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from voxloom.functions.binding import let
 from voxloom.functions.text import tokens
 
 #: Code points from U+0100 up to the surrogates.
@@ -26,10 +27,14 @@ def encoded(words: Column, known: Column) -> Column:
 
 def word_edits(reference: Column, hypothesis: Column) -> Column:
     """Substitutions, deletions and insertions between two arrays of words."""
-    known = F.array_distinct(F.concat(reference, hypothesis))
-    distance = F.levenshtein(encoded(reference, known), encoded(hypothesis, known))
-    short = F.when(F.size(reference) == 0, F.size(hypothesis)).when(F.size(hypothesis) == 0, F.size(reference))
-    return short.when(F.size(known) <= DISTINCT_WORDS, distance).cast("long")
+
+    def count(x: Column) -> Column:
+        r, h, known = x["r"], x["h"], x["known"]
+        short = F.when(F.size(r) == 0, F.size(h)).when(F.size(h) == 0, F.size(r))
+        return short.when(F.size(known) <= DISTINCT_WORDS, F.levenshtein(encoded(r, known), encoded(h, known))).cast("long")
+
+    both = F.struct(reference.alias("r"), hypothesis.alias("h"), F.array_distinct(F.concat(reference, hypothesis)).alias("known"))
+    return let(both, count)
 
 
 def word_edits_array(reference: Column, hypothesis: Column) -> Column:
@@ -53,8 +58,8 @@ def word_edits_array(reference: Column, hypothesis: Column) -> Column:
 
 def utterance_wer(reference: Column, hypothesis: Column) -> Column:
     """100 * edits / reference words of two texts; null for a reference without words."""
-    ref, hyp = tokens(reference), tokens(hypothesis)
-    return F.when(F.size(ref) > 0, 100.0 * word_edits(ref, hyp) / F.size(ref))
+    both = F.struct(tokens(reference).alias("r"), tokens(hypothesis).alias("h"))
+    return let(both, lambda x: F.when(F.size(x["r"]) > 0, 100.0 * word_edits(x["r"], x["h"]) / F.size(x["r"])))
 
 
 def corpus_wer(edits: Column, reference_words: Column) -> Column:
