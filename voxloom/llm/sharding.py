@@ -78,7 +78,8 @@ def sharded(docs: DataFrame, shards: int = SHARDS, unit: int = UNIT, rounds: int
     rows = Scratch.write(described(docs), "rows")
     total = rows.count()
     buckets = max(1, -(-total // BUCKET))
-    quotas = docs.sparkSession.createDataFrame([(s, total // shards + (s < total % shards)) for s in range(shards)], "shard int, quota long")
+    extra = (F.col("id") < total % shards).cast("long")
+    quotas = docs.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"), (F.lit(total // shards).cast("long") + extra).alias("quota"))
     groups = rows.groupBy("g1", "g2").agg(F.count("*").alias("members"))
     linked = groups.where("members > 1")
     begun = rows.join(linked, ["g1", "g2"], "left").withColumn("own", F.pmod(F.xxhash64("doc_id", "row"), F.lit(shards)).cast("int"))
@@ -106,10 +107,9 @@ def evened(placed: DataFrame, quotas: DataFrame, buckets: int) -> DataFrame:
         "shard", (F.coalesce("load", F.lit(0)) - F.col("quota")).alias("over"), F.coalesce("loose_load", F.lit(0)).alias("loose_load")
     )
     told = {r["shard"]: (r["over"], r["loose_load"]) for r in state.collect()}
-    lending = quotas.sparkSession.createDataFrame(
-        [(s, loose, n) for s, (over, free) in told.items() for loose, n in ((True, min(max(over, 0), free)), (False, max(over - free, 0)))],
-        "shard int, loose boolean, lend long",
-    )
+    lends = [(s, loose, n) for s, (over, free) in told.items() for loose, n in ((True, min(max(over, 0), free)), (False, max(over - free, 0)))]
+    rows = [F.struct(F.lit(s).alias("shard"), F.lit(loose).alias("loose"), F.lit(n).cast("long").alias("lend")) for s, loose, n in lends]
+    lending = quotas.sparkSession.range(1).select(F.inline(F.array(*rows)))
     ranked = numbered(placed, "rank", ["shard", "loose"], ["row", "doc_id"], buckets).join(F.broadcast(lending), ["shard", "loose"])
     lent = ranked.where("rank < lend").select("row", "doc_id", F.lit(0).alias("all"))
     order = numbered(lent, "turn", ["all"], ["row", "doc_id"], buckets)
