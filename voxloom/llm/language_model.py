@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import Scratch
-from voxloom.llm.shingles import STEP, coded_words, mixed
+from voxloom.llm.shingles import STEP, bounded, coded_words, mixed
 from voxloom.session import read_table
 
 FOLDS, HELD_OUT = 5, 1
@@ -71,7 +71,7 @@ def word_counts(train: DataFrame) -> DataFrame:
     """(key, c) of every distinct token of the training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, 0):
             keys, codes, _ = tokens(batch.column(0))
             n = np.bincount(codes, minlength=len(keys))
             some = n > 0
@@ -168,7 +168,7 @@ def gradient_round(train: DataFrame, known: Slice, classes: Classes, weights: np
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, told, start = held.value
         now, speed, n = start.copy(), np.full(FEATURES, 1e-2, np.float32), 0
-        for batch in batches:
+        for batch in bounded(batches, 0):
             keys, codes, starts = tokens(batch.column(0))
             of = told.of(words.count(keys), (keys & np.uint64(ENDINGS - 1)).astype(np.int64))[codes]
             rows = history(keys, codes, starts)
@@ -220,7 +220,7 @@ def slice_scores(docs: DataFrame, known: Slice, classes: Classes, weights: np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, told, table = held.value
-        for batch in batches:
+        for batch in bounded(batches, 2):
             keys, codes, starts = tokens(batch.column(2))
             count, mine = words.count(keys), words.mine(keys)
             of = told.of(count, (keys & np.uint64(ENDINGS - 1)).astype(np.int64))

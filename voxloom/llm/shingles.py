@@ -19,6 +19,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def bounded(batches: Iterator[pa.RecordBatch], text: int, most: int = 6_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of column ``text``, or one row where a text is longer."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
+        part = np.cumsum(sizes, dtype=np.int64) // most
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def coded_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(distinct words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, the code of each word in order, where each text's
     codes begin and the last end)."""
