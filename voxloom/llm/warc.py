@@ -58,7 +58,7 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(text, rf"(?i)</?(?:{BLOCKS})\b[^>]*>", "\n")
     text = decoded(F.regexp_replace(text, "<[^>]*>", ""))
     text = F.regexp_replace(text, r"[ \t\r\f\x0B]+", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, " ?\n ?", "\n"), "\n+", "\n"))
+    return F.btrim(F.regexp_replace(F.regexp_replace(text, " ?\n ?", "\n"), "\n+", "\n"), F.lit(" \n"))
 
 
 def fields(html: Column) -> Column:
@@ -143,7 +143,7 @@ def _sql_plain() -> str:
     text = rf"regexp_replace({text}, '(?i)</?(?:{BLOCKS})\b[^>]*>', chr(10), 'g')"
     text = _sql_decoded(f"regexp_replace({text}, '<[^>]*>', '', 'g')")
     text = rf"regexp_replace({text}, '[ \t\r\f\x0B]+', ' ', 'g')"
-    return rf"trim(regexp_replace(regexp_replace({text}, ' ?\n ?', chr(10), 'g'), '\n+', chr(10), 'g'), ' ')"
+    return rf"trim(regexp_replace(regexp_replace({text}, ' ?\n ?', chr(10), 'g'), '\n+', chr(10), 'g'), ' ' || chr(10))"
 
 
 def _sql_fields() -> str:
