@@ -2,9 +2,9 @@
 
 Documents with equal texts are linked through a group. A unit is a bounded part of a group, so that no move is larger than
 ``UNIT`` rows however many copies a group has. Labels begin balanced by hash. In each round a group's members count their
-shards, the fullest shard that the group holds is its target, and units elsewhere want to move there; a shard takes units in the order of the
-group's pull, up to its quota. Documents without links are the filling: at last they, and grouped ones
-only where filling is used up, move from shards above their quota to those below, which makes counts equal or one apart.
+shards, the one with most of them is its target, and units elsewhere want to move there; from shard to shard may go what wants to come
+back and what the other's quota still has free, in the order of the groups' pull. Documents without links, and what a group
+larger than a shard has outside its fullest shard, are the filling: at last they, and others only where filling is used up, move from shards above their quota to those below, which makes counts equal or one apart.
 
 Only (group, shard) and (unit, shard) rows take part in the rounds; texts are read once for their sizes and hashes. Ranks
 come from counted hash buckets, never from a task for a whole shard.
@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from voxloom.llm.common import Scratch, key128, numbered
 from voxloom.session import read_table
 
-SHARDS, UNIT, ROUNDS, BUCKET = 8, 256, 4, 20_000
+SHARDS, UNIT, ROUNDS, BUCKET = 8, 256, 6, 20_000
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -38,38 +38,47 @@ def described(docs: DataFrame) -> DataFrame:
     )
 
 
-def accepted(wants: DataFrame, room: DataFrame, buckets: int) -> DataFrame:
-    """``wants`` (g1, g2, part, shard, target, n, pull) that fit into ``room`` (target, free), strongest pull first.
+def accepted(wants: DataFrame, free: DataFrame, buckets: int) -> DataFrame:
+    """``wants`` (g1, g2, part, shard, own, target, n, pull) that the quotas allow, strongest pull first.
 
-    Running sums come in two steps: sums of counted buckets (target, pull class, hash bucket), then within a bucket."""
+    From one shard to another may go as many rows as want to come back, and a part of what the other still has ``free``. Running sums come
+    in two steps: sums of counted buckets (shard, target, pull class, hash bucket), then within a bucket."""
+    flows = wants.groupBy("shard", "target").agg(F.sum("n").alias("go"))
+    back = flows.select(F.col("target").alias("shard"), F.col("shard").alias("target"), F.col("go").alias("come"))
+    to = flows.groupBy("target").agg(F.sum("go").alias("all"))
+    limits = flows.join(back, ["shard", "target"], "left").join(to, "target").join(free, "target", "left").select(
+        "shard", "target",
+        (F.least("go", F.coalesce("come", F.lit(0))) + F.ceil(F.greatest(F.coalesce("free", F.lit(0)), F.lit(0)) * F.col("go") / F.col("all"))).alias("most"),
+    )
     keyed = wants.withColumn("b", -F.floor(F.log2(F.col("pull").cast("double"))).cast("int") * buckets + F.pmod(F.xxhash64("g1", "g2", "part"), F.lit(buckets)).cast("int"))
-    sums = keyed.groupBy("target", "b").agg(F.sum("n").alias("s"))
-    before = Window.partitionBy("target").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    first = sums.select("target", "b", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("target", "b").orderBy("g1", "g2", "part", "shard").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = keyed.withColumn("upto", F.sum("n").over(inside)).join(first, ["target", "b"]).join(F.broadcast(room), "target")
-    return ranked.where("first + upto <= free").select("g1", "g2", "part", "shard", "target")
+    sums = keyed.groupBy("shard", "target", "b").agg(F.sum("n").alias("s"))
+    before = Window.partitionBy("shard", "target").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    first = sums.select("shard", "target", "b", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("first"))
+    inside = Window.partitionBy("shard", "target", "b").orderBy("g1", "g2", "part", "own").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = keyed.withColumn("upto", F.sum("n").over(inside)).join(first, ["shard", "target", "b"]).join(F.broadcast(limits), ["shard", "target"])
+    return ranked.where("first + upto <= most").select("g1", "g2", "part", "own", "shard", "target")
+
+
+def fullest(units: DataFrame) -> DataFrame:
+    """(g1, g2, target, pull): the shard that holds most of each group, and how much."""
+    held = units.groupBy("g1", "g2", "shard").agg(F.sum("n").alias("held"))
+    best = F.max_by("shard", F.struct("held", F.pmod(F.xxhash64("g1", "shard"), F.lit(1 << 20))))
+    return held.groupBy("g1", "g2").agg(best.alias("target"), F.max("held").alias("pull"))
+
 
+def propagated(units: DataFrame, quotas: DataFrame, largest: int, rounds: int, buckets: int) -> DataFrame:
+    """``units`` (g1, g2, part, own, shard, members, n) after the rounds; own keeps the label a unit began with.
 
-def propagated(units: DataFrame, quotas: DataFrame, shards: int, rounds: int, buckets: int) -> DataFrame:
-    """``units`` (g1, g2, part, shard, n, own) after the rounds; own keeps the label a unit began with."""
+    What a group of more than ``largest`` rows has outside its fullest shard cannot be brought together and takes no quota."""
     now = units
-    for k in range(rounds):
-        held = now.groupBy("g1", "g2", "shard").agg(F.sum("n").alias("held"))
-        load = now.groupBy("shard").agg(F.sum("n").alias("load"))
-        room = quotas.join(load, "shard", "left").select(
-            F.col("shard").alias("target"), (F.col("quota") - F.coalesce("load", F.lit(0))).alias("free")
-        )
-        taken = held.join(F.broadcast(room.where("free > 0")), F.col("shard") == F.col("target")) if k else held.withColumn("target", F.col("shard"))
-        goal = taken.groupBy("g1", "g2").agg(
-            F.max_by("target", F.struct("held", F.pmod(F.xxhash64("g1", "target"), F.lit(1 << 20)))).alias("target"), F.max("held").alias("pull")
-        )
-        mine = now.join(goal, ["g1", "g2"]).join(held, ["g1", "g2", "shard"])
-        wants = mine.where("shard <> target AND held <= pull").select("g1", "g2", "part", "shard", "own", "target", "n", "pull")
-        moves = accepted(wants, room, buckets).withColumnRenamed("shard", "at")
-        key = ["g1", "g2", "part"]
-        moved = now.withColumn("at", F.col("shard")).join(moves, [*key, "at"], "left").withColumn("shard", F.coalesce("target", "shard"))
-        now = Scratch.write(moved.select("g1", "g2", "part", "own", "shard", "n"), "units")
+    for _ in range(rounds):
+        told = Scratch.write(now.join(fullest(now), ["g1", "g2"]), "told")
+        settled = told.where((F.col("members") <= largest) | (F.col("shard") == F.col("target")))
+        load = settled.groupBy("shard").agg(F.sum("n").alias("load"))
+        room = quotas.join(load, "shard", "left").select(F.col("shard").alias("target"), (F.col("quota") - F.coalesce("load", F.lit(0))).alias("free"))
+        moves = accepted(told.where("shard <> target"), room, buckets).drop("shard")
+        moved = now.join(moves, ["g1", "g2", "part", "own"], "left").withColumn("shard", F.coalesce("target", "shard"))
+        now = Scratch.write(moved.select("g1", "g2", "part", "own", "shard", "members", "n"), "units")
     return now
 
 
@@ -86,10 +95,16 @@ def sharded(docs: DataFrame, shards: int = SHARDS, unit: int = UNIT, rounds: int
     parts = F.ceil(F.col("members") / F.lit(unit))
     begun = begun.withColumn("part", F.when(F.col("members").isNotNull(), F.pmod(F.xxhash64("row", "doc_id"), parts)))
     begun = Scratch.write(begun, "begun")
-    units = begun.where("part IS NOT NULL").groupBy("g1", "g2", "part", "own").agg(F.count("*").alias("n")).withColumn("shard", F.col("own"))
-    moved = propagated(Scratch.write(units, "units"), quotas, shards, rounds, buckets)
-    placed = begun.join(moved.select("g1", "g2", "part", "own", F.col("shard").alias("to")), ["g1", "g2", "part", "own"], "left")
-    placed = placed.select("doc_id", "row", "size", "text_crc32", "g1", "g2", F.coalesce("to", "own").alias("shard"), F.col("to").isNull().alias("loose"))
+    units = begun.where("part IS NOT NULL").groupBy("g1", "g2", "part", "own", "members").agg(F.count("*").alias("n")).withColumn("shard", F.col("own"))
+    largest = total // shards
+    moved = Scratch.write(propagated(Scratch.write(units, "units"), quotas, largest, rounds, buckets), "moved")
+    over = moved.where(F.col("members") > largest)
+    main = fullest(over).select("g1", "g2", F.col("target").alias("main"))  # fewer groups than shards
+    labelled = moved.join(F.broadcast(main), ["g1", "g2"], "left")
+    labelled = labelled.select("g1", "g2", "part", "own", F.col("shard").alias("to"), F.coalesce(F.col("main") != F.col("shard"), F.lit(False)).alias("left_over"))
+    placed = begun.join(labelled, ["g1", "g2", "part", "own"], "left")
+    loose = F.col("to").isNull() | F.col("left_over")
+    placed = placed.select("doc_id", "row", "size", "text_crc32", "g1", "g2", F.coalesce("to", "own").alias("shard"), loose.alias("loose"))
     placed = Scratch.write(placed, "placed")
     even = evened(placed, quotas, buckets)
     even = Scratch.write(even, "even")
