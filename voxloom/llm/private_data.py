@@ -109,21 +109,22 @@ def base_spans(text: Column) -> Column:
 
 
 def candidates(text: Column, spans: Column) -> Column:
-    """Tokens with a digit or @: (start, end, value, kind of the base span they touch or null, one, two: the words before)."""
+    """Tokens with a digit or @: (start, end, value, kind, one, two). kind: that of the base span a token begins, whose text is then
+    the value, else null; one, two: the words before. Tokens inside a base span are left out."""
     core = r"^[^A-Za-z0-9+(]+|[^A-Za-z0-9)]+$"
-    return F.when(
-        text.rlike("[0-9@]"),
-        F.transform(
-            found(text, CANDIDATE),
-            lambda m: F.struct(
-                m["start"].alias("start"), m["end"].alias("end"),
-                F.lower(F.regexp_replace(m["text"], core, "")).alias("value"),
-                F.get(F.filter(spans, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])), F.lit(0))["kind"].alias("kind"),
-                F.lower(F.regexp_extract(m["before"], WORD_BEFORE, 1)).alias("one"),
-                F.lower(F.regexp_extract(m["before"], TWO_BEFORE, 1)).alias("two"),
-            ),
-        ),
-    )
+
+    def described(m: Column) -> Column:
+        over = F.get(F.filter(spans, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])), F.lit(0))
+        return let(over, lambda o: F.struct(
+            m["start"].alias("start"), m["end"].alias("end"),
+            F.lower(F.when(o.isNull(), F.regexp_replace(m["text"], core, "")).otherwise(F.substring(text, o["start"] + 1, o["end"] - o["start"]))).alias("value"),
+            o["kind"].alias("kind"),
+            F.lower(F.regexp_extract(m["before"], WORD_BEFORE, 1)).alias("one"),
+            F.lower(F.regexp_extract(m["before"], TWO_BEFORE, 1)).alias("two"),
+            (o.isNotNull() & (o["start"] < m["start"])).alias("inside"),
+        ))
+
+    return F.when(text.rlike("[0-9@]"), F.filter(F.transform(found(text, CANDIDATE), described), lambda c: ~c["inside"]))
 
 
 def extracted(docs: DataFrame) -> DataFrame:
