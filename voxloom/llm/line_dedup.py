@@ -95,18 +95,18 @@ def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     The bitmaps are the build side of a shuffled hash join: they hold a few numbers for each document with losses,
     and the texts are not sorted."""
     maps = keep_bitmaps(docs, min_chars, min_docs)
-    named = maps.select(F.col("doc_id").alias("_doc"), F.col("n_dropped").alias("_n"), F.col("runs").alias("_runs"))
-    joined = docs.join(named.hint("shuffle_hash"), F.col("doc_id") == F.col("_doc"), "left")
+    named = maps.select(F.col("doc_id").alias("__dedup_doc"), F.col("n_dropped").alias("__dedup_n"), F.col("runs").alias("__dedup_runs"))
+    joined = docs.join(named.hint("shuffle_hash"), F.col("doc_id") == F.col("__dedup_doc"), "left")
     kept = let(lines_of(F.col("text")), lambda ls: F.struct(
-        F.size(ls).cast("long").alias("n"), F.array_join(kept_lines(ls, F.col("_runs")), "\n").alias("text")
+        F.size(ls).cast("long").alias("n"), F.array_join(kept_lines(ls, F.col("__dedup_runs")), "\n").alias("text")
     ))
-    cut = joined.withColumn("_kept", kept)
+    cut = joined.withColumn("__dedup_kept", kept)
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     return cut.select(
         *others,
-        F.col("_kept.text").alias("text"),
-        F.col("_kept.n").alias("n_lines"),
-        F.coalesce("_n", F.lit(0)).cast("long").alias("n_dropped"),
+        F.col("__dedup_kept.text").alias("text"),
+        F.col("__dedup_kept.n").alias("n_lines"),
+        F.coalesce("__dedup_n", F.lit(0)).cast("long").alias("n_dropped"),
     )
 
 
