@@ -8,14 +8,17 @@ How it stays whole and bounded:
 * Equal sets are one node from the start; copies are never paired.
 * A global order puts shingles that are frequent among distinct sets last (a bounded list of the most frequent ones; any
   order gives the same links, a good one gives fewer candidates). Linked sets share a shingle in their prefixes.
-* Prefix shingles meet in an inverted index, moved as numpy blocks by hash range; lists of one set are dropped at once.
-  The remaining lists are cut into blocks by set size; blocks whose sizes or positions rule out the needed overlap are
-  skipped.
-* Sets of a list are first compared with one pivot a block. A set that links with its pivot takes over the pivot's
-  computed answer, its component, and is not compared with the other members. Distances measured to a pivot also rule
-  out pairs by the triangle inequality.
-* At last every pair of a list that lies in two components and passes the overlap bound of the whole prefix is verified
-  on full sets, so no link between different components is lost.
+* Prefix shingles, those in the first positions of the order, meet in an inverted index, moved as numpy blocks by hash
+  range; lists of one set are dropped at once. The remaining lists are cut into blocks by set size; a block is skipped
+  where sizes rule out a link, and a pair where its shared prefix and all positions behind it cannot reach the needed overlap.
+* Sets of a list are first compared with one pivot a block, the smallest set id. A set that links with its pivot takes over
+  the pivot's computed answer, its component. Every set close to its pivot is attached to it with the measured overlap and the few
+  shingles in which it differs from the pivot.
+* Two sets attached to one pivot are never enumerated as such: their overlap is at most the smaller overlap with the pivot plus
+  the differing shingles both have, so an inverted index over differing shingles, and a comparison of sizes for pairs that have
+  none in common, leave the few pairs whose answer the pivot's does not settle.
+* All other pairs of a list that lie in two components and pass the overlap bound of the whole prefix are verified
+  on full sets, as are those left by the step before, so no link between different components is lost.
 
 Defined cases: a null, empty or blank text has an empty set and links with nothing; a text of fewer than five words is
 one shingle; rows that repeat a doc_id give a row each, with the class of their own text; an empty table
@@ -33,14 +36,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import Scratch, components
-from voxloom.llm.shingles import shingle_sets
+from voxloom.llm.shingles import bounded, shingle_sets
 from voxloom.session import read_table
 
 WIDTH = 5
 #: The list of frequent shingles: at most so many, each in at least so many distinct sets. It shapes the order only.
 MOST_FREQUENT, FREQUENT = 200_000, 64
-#: Prefix shingles of an index block, about.
-BLOCK = 400_000
+#: Prefix shingles of an index block, about, up to so many blocks.
+BLOCK, MOST_BLOCKS = 400_000, 20_000
 
 
 def prefix_length(n: int) -> int:
@@ -63,7 +66,7 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in bounded(batches, 0):
             fresh = [s for _, s, new in seen_filter(shingle_sets(batch.column(0), WIDTH), seen) if new]
             if not fresh:
                 continue
@@ -89,7 +92,7 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, rank = held.value
         seen: set[int] = set()
-        for batch in batches:
+        for batch in bounded(batches, 1):
             n, sid, rare, common = [], [], [], []
             for key, s, new in seen_filter(shingle_sets(batch.column(1), WIDTH), seen):
                 n.append(len(s))
@@ -113,11 +116,37 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFr
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SETS)
 
 
-POSTINGS = "token long, sid long, n long, pos long"
-
-
-def rare_postings(sets: DataFrame, blocks: int) -> DataFrame:
-    """(token, sid, n, pos) of rare prefix shingles that two sets or more share.
+#: A list has token, sids and ns; a counted pivot pair has x, xn, y, yn and c.
+MET = "token long, sids array<long>, ns array<int>, x long, xn int, y long, yn int, c long"
+ENTRY = np.dtype([("token", "<i8"), ("sid", "<i8"), ("n", "<i4")])
+
+
+def pivot_pairs_of(rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(x, xn, y, yn, c) for whole lists: each set with the pivots of its own and the next size block."""
+    block = np.floor(np.log(rows["n"]) / np.log(4 / 3)).astype(np.int64)
+    at = np.lexsort((rows["sid"], block, rows["token"]))
+    rows, block = rows[at], block[at]
+    head = np.ones(len(rows), bool)
+    head[1:] = (rows["token"][1:] != rows["token"][:-1]) | (block[1:] != block[:-1])
+    group, first = np.cumsum(head) - 1, np.flatnonzero(head)
+    after = np.minimum(group + 1, len(first) - 1)
+    follows = (rows["token"][first[after]] == rows["token"]) & (block[first[after]] == block + 1)
+    x = np.concatenate([np.arange(len(rows)), np.flatnonzero(follows)])
+    y = np.concatenate([first[group], first[after[follows]]])
+    n, m = rows["n"][x].astype(np.int64), rows["n"][y].astype(np.int64)
+    fits = (rows["sid"][x] != rows["sid"][y]) & (4 * np.minimum(n, m) >= 3 * np.maximum(n, m))
+    x, y = x[fits], y[fits]
+    order = np.lexsort((rows["sid"][y], rows["sid"][x]))
+    x, y = x[order], y[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (rows["sid"][x[1:]] != rows["sid"][x[:-1]]) | (rows["sid"][y[1:]] != rows["sid"][y[:-1]])
+    edges = np.append(np.flatnonzero(new), len(x))
+    x, y = x[new], y[new]
+    return rows["sid"][x], rows["n"][x], rows["sid"][y], rows["n"][y], np.diff(edges)
+
+
+def rare_index(sets: DataFrame, blocks: int) -> DataFrame:
+    """Of the rare prefix shingles that two sets or more share: the postings, and the pivot pairs with their counts.
 
     Shingles are dealt into blocks by their hash; a row of the shuffle is what one batch has for one block, as bytes."""
 
@@ -128,48 +157,58 @@ def rare_postings(sets: DataFrame, blocks: int) -> DataFrame:
             if not size.sum():
                 continue
             token = np.concatenate(parts)
-            sid = np.repeat(batch.column(0).to_numpy(), size)
-            n = np.repeat(batch.column(1).to_numpy(), size)
-            pos = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
             block = (token >> np.uint64(32)).astype(np.int64) * blocks >> 32
+            rows = np.empty(len(token), ENTRY)
+            rows["token"] = token.view(np.int64)
+            rows["sid"] = np.repeat(batch.column(0).to_numpy(), size)
+            rows["n"] = np.repeat(batch.column(1).to_numpy(), size)
             at = np.argsort(block, kind="stable")
-            edges = np.searchsorted(block[at], np.arange(blocks + 1))
-            row = np.stack([token.view(np.int64), sid, (n << 32) | pos], axis=1)[at]
+            rows, edges = rows[at], np.searchsorted(block[at], np.arange(blocks + 1))
             some = np.flatnonzero(np.diff(edges))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some.astype(np.int32)), pa.array([row[edges[b] : edges[b + 1]].tobytes() for b in some], pa.binary())], ["block", "rows"]
+                [pa.array(some.astype(np.int32)), pa.array([rows[edges[b] : edges[b + 1]].tobytes() for b in some], pa.binary())], ["block", "rows"]
             )
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def shared(got: list[np.ndarray]) -> pa.RecordBatch:
-            rows = np.concatenate(got)
-            rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-            fresh = np.ones(len(rows), bool)
-            fresh[1:] = (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] != rows[:-1, 1])
-            rows = rows[fresh]
-            same = np.zeros(len(rows) + 1, bool)
-            same[1:-1] = rows[1:, 0] == rows[:-1, 0]
-            rows = rows[same[1:] | same[:-1]]
-            columns = (rows[:, 0], rows[:, 1], rows[:, 2] >> 32, rows[:, 2] & 0xFFFFFFFF)
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["token", "sid", "n", "pos"])
+    def shared(got: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(got)
+        rows = rows[np.lexsort((rows["sid"], rows["token"]))]
+        fresh = np.ones(len(rows), bool)
+        fresh[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["sid"][1:] != rows["sid"][:-1])
+        rows = rows[fresh]
+        same = np.zeros(len(rows) + 1, bool)
+        same[1:-1] = rows["token"][1:] == rows["token"][:-1]
+        rows = rows[same[1:] | same[:-1]]
+        if not len(rows):
+            return
+        k, flat = len(rows), lambda c: pa.array(np.ascontiguousarray(c))
+        first = np.flatnonzero(np.append(True, rows["token"][1:] != rows["token"][:-1]))
+        edges = pa.array(np.append(first, k), pa.int32())
+        lists = [flat(rows["token"][first]), pa.ListArray.from_arrays(edges, flat(rows["sid"])), pa.ListArray.from_arrays(edges, flat(rows["n"]))]
+        x, xn, y, yn, c = pivot_pairs_of(rows)
+        pairs = [flat(x), flat(xn), flat(y), flat(yn), flat(c.astype(np.int64))]
+        names, n = ["token", "sids", "ns", "x", "xn", "y", "yn", "c"], len(first)
+        yield pa.RecordBatch.from_arrays([*lists, *(pa.nulls(n, t.type) for t in pairs)], names)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(x), t.type) for t in lists), *pairs], names)
 
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, got = None, []
         for batch in batches:
             for b, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if b != block and got:
-                    yield shared(got)
+                    yield from shared(got)
                     got = []
                 block = b
-                got.append(np.frombuffer(rows.as_buffer(), np.int64).reshape(-1, 3))
+                got.append(np.frombuffer(rows.as_buffer(), ENTRY))
         if got:
-            yield shared(got)
+            yield from shared(got)
 
     dealt = sets.where("octet_length(rare) > 0").select("sid", "n", "rare").mapInArrow(deal, "block int, rows binary")
-    return dealt.repartition("block").sortWithinPartitions("block").mapInArrow(meet, POSTINGS)
+    # one block or few in a partition: what a task holds at once does not grow with the input
+    return dealt.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(meet, MET)
 
 
 def common_postings(sets: DataFrame) -> DataFrame:
-    """(token, sid, n, pos) of the common part of prefixes."""
+    """(token, sid, n, pos) of the common part of prefixes; pos: the place in the order, from 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,14 +216,12 @@ def common_postings(sets: DataFrame) -> DataFrame:
             size = np.array([len(x) for x in parts])
             if not size.sum():
                 continue
-            first = np.repeat(batch.column(3).to_numpy(), size)
-            pos = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + first
-            columns = (np.concatenate(parts), np.repeat(batch.column(0).to_numpy(), size), np.repeat(batch.column(1).to_numpy(), size), pos)
+            pos = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(batch.column(3).to_numpy(), size)
+            columns = (np.concatenate(parts), np.repeat(batch.column(0).to_numpy(), size), np.repeat(batch.column(1).to_numpy(), size).astype(np.int32), pos.astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "sid", "n", "pos"])
 
-    some = sets.where("octet_length(common) > 0")
-    given = some.select("sid", "n", "common", F.expr("CAST(octet_length(rare) / 8 AS BIGINT)").alias("first"))
-    return given.mapInArrow(run, POSTINGS).dropDuplicates(["token", "sid"])
+    some = sets.where("octet_length(common) > 0").select("sid", "n", "common", F.expr("octet_length(rare) div 8").alias("first"))
+    return some.mapInArrow(run, "token long, sid long, n int, pos int").dropDuplicates(["token", "sid"])
 
 
 def size_block(n: Column) -> Column:
@@ -208,115 +245,224 @@ def possible(pairs: DataFrame) -> DataFrame:
 
 
 def counted(met: DataFrame) -> DataFrame:
-    return met.groupBy("x", "y").agg(F.first("xn").alias("xn"), F.first("yn").alias("yn"), F.count("*").alias("c"))
+    """(x, xn, y, yn, c), with the counts of equal pairs added up."""
+    sums = met.groupBy("x", "y").agg(F.first("xn").alias("xn"), F.first("yn").alias("yn"), F.sum("c").alias("c"))
+    return sums.select("x", "xn", "y", "yn", "c")
 
 
-def pivot_pairs(postings: DataFrame, salt: int) -> DataFrame:
-    """(x, xn, y, yn, c): sets of a list block with the pivots of their own and the next block."""
+def pivot_pairs(postings: DataFrame) -> DataFrame:
+    """(x, xn, y, yn, c): sets of a common list's block with the pivots of their own and the next block."""
     blocked = postings.withColumn("block", size_block(F.col("n")))
-    first = blocked.groupBy("token", "block").agg(F.min(F.struct(F.xxhash64(F.lit(salt), "sid").alias("h"), "sid", "n", "comp")).alias("p"))
-    near = first.select(
-        "token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"),
-        F.col("p.sid").alias("y"), F.col("p.n").alias("yn"), F.col("p.comp").alias("ycomp"),
-    )
-    met = blocked.join(near, ["token", "block"]).where("comp <> ycomp AND 4 * least(n, yn) >= 3 * greatest(n, yn)")
-    return counted(met.select(F.col("sid").alias("x"), F.col("n").alias("xn"), "y", "yn"))
+    first = blocked.groupBy("token", "block").agg(F.min(F.struct("sid", "n")).alias("p"))
+    near = first.select("token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"), F.col("p.sid").alias("y"), F.col("p.n").alias("yn"))
+    met = blocked.join(near, ["token", "block"]).where("sid <> y AND 4L * least(n, yn) >= 3L * greatest(n, yn)")
+    return counted(met.select(F.col("sid").alias("x"), F.col("n").alias("xn"), "y", "yn", F.lit(1).cast("long").alias("c")))
 
 
-def cross_pairs(postings: DataFrame) -> DataFrame:
-    """(x, xn, y, yn, c) for all pairs of a list that lie in different components."""
-    blocked = postings.withColumn("block", size_block(F.col("n")))
-    left = blocked.select("token", "block", F.col("sid").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xpos"), F.col("comp").alias("xcomp"))
-    right = blocked.select(
-        "token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"),
-        F.col("sid").alias("y"), F.col("n").alias("yn"), F.col("pos").alias("ypos"), F.col("comp").alias("ycomp"),
-        F.col("block").alias("own"),
+def cross_pairs(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """(x, y): pairs of a common list that lie in different components, have different pivots and may link by position.
+
+    Of a pair that needs overlap o, at least one shared shingle is among the first n - o + 1 of both sets, so that a list's later
+    places are skipped for this pair, whatever they hold."""
+    named = postings.join(labels, "sid", "left").select("token", "sid", "n", "pos", F.coalesce("comp", "sid").alias("comp"), F.coalesce("pivot", "sid").alias("pivot"))
+    named = Scratch.write(named.withColumn("block", size_block(F.col("n"))), "named")
+    left = named.select(
+        "token", "block", F.col("sid").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xpos"), F.col("comp").alias("xcomp"), F.col("pivot").alias("xpivot")
     )
-    fits = (
-        (F.col("xcomp") != F.col("ycomp"))
-        & ((F.col("own") != F.col("block")) | (F.col("x") < F.col("y")))
-        & (4 * F.least("xn", "yn") >= 3 * F.greatest("xn", "yn"))
+    right = named.select(
+        "token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"), F.col("sid").alias("y"), F.col("n").alias("yn"),
+        F.col("pos").alias("ypos"), F.col("comp").alias("ycomp"), F.col("pivot").alias("ypivot"), F.col("block").alias("own"),
     )
-    met = left.join(right, ["token", "block"]).where(fits)
-    return counted(met.select("x", "xn", "y", "yn"))
+    fits = F.expr("xcomp <> ycomp AND xpivot <> ypivot AND (own <> block OR x < y) AND 4L * least(xn, yn) >= 3L * greatest(xn, yn)")
+    needed = least_overlap(F.col("xn"), F.col("yn"))
+    early = (F.col("xpos") <= F.col("xn") - needed) & (F.col("ypos") <= F.col("yn") - needed)
+    return left.join(right, ["token", "block"]).where(fits & early).select("x", "y").distinct()
+
 
+#: Up to so many labelled sets are sent to the tasks that pair rare lists. Beyond, those lists, which are short, are paired
+#: without labels: more candidates, the same links.
+MOST_LABELS = 1_500_000
 
-def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, tokens) for the (doc_id, sid) wanted."""
+
+def rare_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(x, xn, y, yn, c), counted by task, for the pairs of rare lists that lie in different components and have different pivots."""
+    few = labels.count() <= MOST_LABELS
+    got = labels.toArrow() if few else labels.limit(0).toArrow()
+    sid = got["sid"].to_numpy()
+    at = np.argsort(sid)
+    held = lists.sparkSession.sparkContext.broadcast((sid[at], got["comp"].to_numpy()[at], got["pivot"].to_numpy()[at]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, comp, pivot = held.value
         for batch in batches:
+            edges = batch.column(0).offsets.to_numpy().astype(np.int64)
+            ids, n = batch.column(0).values.to_numpy(), batch.column(1).values.to_numpy().astype(np.int64)
+            c, p = ids.copy(), ids.copy()
+            if len(known):
+                k = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+                hit = known[k] == ids
+                c[hit], p[hit] = comp[k[hit]], pivot[k[hit]]
+            end = np.repeat(edges[1:], np.diff(edges)) if len(edges) > 1 else edges[:0]
+            place = np.arange(edges[0], edges[-1])
+            todo = end - place - 1
+            cuts = np.searchsorted(np.cumsum(todo), np.arange(0, todo.sum() + 1, 2_000_000), side="right") if len(todo) else []
+            for a, b in zip(cuts, [*cuts[1:], len(todo)], strict=True) if len(todo) else ():
+                x = np.repeat(place[a:b], todo[a:b])
+                y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(todo[a:b]) - todo[a:b], todo[a:b])
+                fits = (c[x] != c[y]) & (p[x] != p[y]) & (4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y]))
+                x, y = x[fits], y[fits]
+                swap = ids[x] > ids[y]
+                x, y = np.where(swap, y, x), np.where(swap, x, y)
+                order = np.lexsort((ids[y], ids[x]))
+                x, y = x[order], y[order]
+                if not len(x):
+                    continue
+                new = np.append(True, (ids[x[1:]] != ids[x[:-1]]) | (ids[y[1:]] != ids[y[:-1]]))
+                count = np.diff(np.append(np.flatnonzero(new), len(x)))
+                x, y = x[new], y[new]
+                columns = [pa.array(ids[x]), pa.array(n[x].astype(np.int32)), pa.array(ids[y]), pa.array(n[y].astype(np.int32)), pa.array(count)]
+                yield pa.RecordBatch.from_arrays(columns, ["x", "xn", "y", "yn", "c"])
+
+    return counted(lists.select("sids", "ns").mapInArrow(run, "x long, xn int, y long, yn int, c long"))
+
+
+#: Up to so many wanted sets, of two numbers and two flags, are sent to every task; more are joined by shuffle.
+MOST_SENT = 400_000
+
+
+def full_sets(docs: DataFrame, pairs: DataFrame, chosen: DataFrame, name: str) -> DataFrame:
+    """(sid, tokens, as_x, as_y) of the sets in ``pairs``, written; as_x, as_y: on which side they are needed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches, 1):
             got = zip(batch.column(0).to_pylist(), seen_filter(shingle_sets(batch.column(1), WIDTH), set()), strict=True)
-            right = [(sid, s.tobytes()) for sid, (key, s, new) in got if key == sid and new]
-            columns = [pa.array([r[0] for r in right], pa.int64()), pa.array([r[1] for r in right], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["sid", "tokens"])
+            right = [(k, s.tobytes()) for k, (sid, (key, s, new)) in enumerate(got) if key == sid and new]
+            at = pa.array([r[0] for r in right], pa.int64())
+            tokens = pa.array([r[1] for r in right], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), tokens, batch.column(2).take(at), batch.column(3).take(at)], ["sid", "tokens", "as_x", "as_y"])
+
+    sides = pairs.select(F.col("x").alias("sid"), F.lit(True).alias("as_x"), F.lit(False).alias("as_y")).union(
+        pairs.select("y", F.lit(False), F.lit(True))
+    )
+    wanted = sides.groupBy("sid").agg(F.max("as_x").alias("as_x"), F.max("as_y").alias("as_y")).join(chosen, "sid")
+    wanted = Scratch.write(wanted, "wanted")
+    if wanted.count() <= MOST_SENT:
+        wanted = F.broadcast(wanted)
+    read = docs.select("doc_id", "text").join(wanted, "doc_id").select("sid", "text", "as_x", "as_y")
+    return Scratch.write(read.mapInArrow(run, "sid long, tokens binary, as_x boolean, as_y boolean"), name)
 
-    read = docs.select("doc_id", "text").join(wanted, "doc_id").select("sid", "text")
-    return read.mapInArrow(run, "sid long, tokens binary")
+
+#: A set is attached to a pivot if their overlap is at least this share of the larger of both.
+ATTACHED = 0.7
+CHECKED = "x long, xn int, y long, yn int, both int, linked boolean, rest binary"
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(x, y, far, linked): far is the Jaccard distance."""
+    """``CHECKED`` for pairs (x, y): both is the overlap; rest: the shingles of x that y lacks, where y may be x's pivot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far, linked = [], []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+            out = []
+            for x, y, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-                far.append(1 - both / (len(a) + len(b) - both))
-                linked.append(7 * both >= 3 * (len(a) + len(b)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far), pa.array(linked)], ["x", "y", "far", "linked"])
-
-    one = sets.select(F.col("sid").alias("x"), F.col("tokens").alias("xs"))
-    two = sets.select(F.col("sid").alias("y"), F.col("tokens").alias("ys"))
+                same = b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
+                both = int(same.sum())
+                close = y < x and both >= ATTACHED * max(len(a), len(b))
+                out.append((x, len(a), y, len(b), both, 7 * both >= 3 * (len(a) + len(b)), a[~same].tobytes() if close else None))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+            columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["x", "xn", "y", "yn", "both", "linked", "rest"])
+
+    one = sets.where("as_x").select(F.col("sid").alias("x"), F.col("tokens").alias("xs"))
+    two = sets.where("as_y").select(F.col("sid").alias("y"), F.col("tokens").alias("ys"))
     joined = pairs.select("x", "y").join(one, "x").join(two, "y").select("x", "y", "xs", "ys")
-    return joined.mapInArrow(run, "x long, y long, far double, linked boolean")
+    return joined.mapInArrow(run, CHECKED)
+
 
+def members(near: DataFrame, roots: DataFrame) -> DataFrame:
+    """(x, n, p, both, rest, comp, out): every attached set with its pivot p; out: its component is not the pivot's."""
+    close = near.where("rest IS NOT NULL")
+    first = close.groupBy("x").agg(F.min("y").alias("y"))
+    own = close.join(first, ["x", "y"]).dropDuplicates(["x"])
+    a, b = roots.select(F.col("node").alias("x"), F.col("root").alias("xr")), roots.select(F.col("node").alias("y"), F.col("root").alias("yr"))
+    named = own.join(a, "x", "left").join(b, "y", "left")
+    comp, other = F.coalesce("xr", "x"), F.coalesce("yr", "y")
+    return named.select("x", F.col("xn").alias("n"), F.col("y").alias("p"), "both", "rest", comp.alias("comp"), (comp != other).alias("out"))
 
-def not_ruled_out(pairs: DataFrame, near: DataFrame) -> DataFrame:
-    """``pairs`` without those compared already, and without those whose distances to a common pivot differ by more than
-    a link allows: the Jaccard distance is a metric."""
-    one = near.select("x", F.col("y").alias("pivot"), F.col("far").alias("x_far"))
-    two = near.select(F.col("x").alias("y"), F.col("y").alias("pivot"), F.col("far").alias("y_far"))
-    apart = pairs.join(one, "x").join(two, ["y", "pivot"]).where(F.abs(F.col("x_far") - F.col("y_far")) > 0.25 + 1e-9)
-    done = near.select("x", "y").union(near.select(F.col("y").alias("x"), F.col("x").alias("y"))).union(apart.select("x", "y"))
-    return pairs.join(done, ["x", "y"], "left_anti")
 
+def rest_shingles(of: DataFrame) -> DataFrame:
+    """(p, token, x, n, both, comp, out) for each shingle of ``rest``."""
 
-def link_classes(docs: DataFrame, shuffle_blocks: int | None = None) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)]
+            size = np.array([len(x) for x in parts], np.int64)
+            at = pa.array(np.repeat(np.arange(len(parts)), size))
+            tokens = pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([tokens, *(batch.column(k).take(at) for k in range(1, 7))], ["token", "p", "x", "n", "both", "comp", "out"])
+
+    return of.select("rest", "p", "x", "n", "both", "comp", "out").mapInArrow(run, "token long, p long, x long, n int, both int, comp long, out boolean")
+
+
+def unsettled_pairs(of: DataFrame) -> DataFrame:
+    """(x, y): pairs with one pivot and different components that the pivot's answers leave open.
+
+    Of such a pair one is outside the pivot's component. overlap(x, y) <= least(both) + shingles of rest that x and y share."""
+    stars = of.where("out").select("p").distinct()
+    some = of.join(stars, "p", "left_semi")
+    shingles = rest_shingles(some)
+    left = shingles.where("out").select("p", "token", "x", F.col("n").alias("xn"), F.col("both").alias("xb"), F.col("comp").alias("xc"))
+    right = shingles.select("p", "token", F.col("x").alias("y"), F.col("n").alias("yn"), F.col("both").alias("yb"), F.col("comp").alias("yc"), F.col("out").alias("yout"))
+    met = left.join(right, ["p", "token"]).where("xc <> yc AND (NOT yout OR x < y)")
+    shared = met.groupBy("x", "y").agg(F.count("*").alias("a"), F.first("xn").alias("xn"), F.first("yn").alias("yn"), F.min(F.least("xb", "yb")).alias("b"))
+    sharing = shared.where("7L * (a + b) >= 3L * (xn + yn)").select("x", "y")
+    outs = some.where("out").select("p", "x", F.col("n").alias("xn"), F.col("both").alias("xb"), F.col("comp").alias("xc"))
+    sizes = some.select("p", F.col("n").alias("yn")).distinct()
+    open_sizes = outs.join(sizes, "p").where("7L * xb >= 3L * (xn + yn) AND 4L * least(xn, yn) >= 3L * greatest(xn, yn)")
+    inside = some.select("p", F.col("n").alias("yn"), F.col("x").alias("y"), F.col("both").alias("yb"), F.col("comp").alias("yc"), F.col("out").alias("yout"))
+    smaller = open_sizes.join(inside, ["p", "yn"]).where("xc <> yc AND (NOT yout OR x < y) AND 7L * yb >= 3L * (xn + yn)").select("x", "y")
+    return sharing.union(smaller).distinct()
+
+
+def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document."""
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = Scratch.write(prefixes(docs, frequent_shingles(docs)), "sets")
-    total = sets.agg(F.coalesce(F.sum(F.octet_length("rare")), F.lit(0))).first()[0] // 8
-    blocks = shuffle_blocks or max(1, -(-total // BLOCK))
-    found = rare_postings(sets, blocks).unionByName(common_postings(sets))
-    postings = Scratch.write(found, "postings")
-    chosen = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    named = postings.withColumn("comp", F.col("sid"))
-    links = near = None
-    for step in ("first", "second", "rest"):
-        pairs = cross_pairs(named) if step == "rest" else pivot_pairs(named, len(step))
-        pairs = possible(pairs)
-        if near is not None:
-            pairs = not_ruled_out(pairs, near)
-        pairs = Scratch.write(pairs.select("x", "y"), "pairs")
-        wanted = pairs.select(F.col("x").alias("sid")).union(pairs.select("y")).distinct().join(chosen, "sid")
-        full = Scratch.write(full_sets(docs, wanted), "full")
-        checked = Scratch.write(verified(pairs, full), "checked")
-        near = checked if near is None else near.union(checked)
-        links = near.where("linked").select("x", "y")
-        roots = Scratch.write(components(links, "x", "y"), "roots")
-        if step != "rest":
-            labels = roots.withColumnRenamed("node", "sid")
-            named = postings.join(labels, "sid", "left").withColumn("comp", F.coalesce("root", "sid")).drop("root")
-            mixed_lists = named.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token")
-            named = Scratch.write(named.join(mixed_lists, "token", "left_semi"), "named")
+    wide, wide_at = Scratch.write_at(prefixes(docs, frequent_shingles(docs)), "prefixes")
+    total = wide.agg(F.coalesce(F.sum(F.octet_length("rare")), F.lit(0))).first()[0] // 8
+    met = Scratch.write(rare_index(wide, index_blocks or min(MOST_BLOCKS, max(1, -(-total // BLOCK)))), "index")
+    common = Scratch.write(common_postings(wide), "common")
+    sets = Scratch.write(wide.select("doc_id", "n", "sid"), "sets")
+    Scratch.drop(spark, wide_at)
+    chosen = Scratch.write(sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "chosen")
+
+    starred = counted(met.where("x IS NOT NULL").select("x", "xn", "y", "yn", "c").union(pivot_pairs(common)))
+    pairs = Scratch.write(possible(starred).select("x", "y"), "pairs")
+    near = Scratch.write(verified(pairs, full_sets(docs, pairs, chosen, "full")), "near")
+    roots = Scratch.write(components(near.where("linked").select("x", "y"), "x", "y"), "roots")
+
+    attached = Scratch.write(members(near, roots), "members")
+    nodes = near.select(F.col("x").alias("sid")).union(near.select("y")).distinct()
+    labels = nodes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").join(attached.select(F.col("x").alias("sid"), "p"), "sid", "left")
+    labels = Scratch.write(labels.select("sid", F.coalesce("root", "sid").alias("comp"), F.coalesce("p", "sid").alias("pivot")), "labels")
+    # what a pair shares among common shingles is not counted but bounded by how many of them the smaller prefix part has
+    held = Scratch.write(common.groupBy("sid").agg(F.count("*").alias("k")), "held")
+    across = rare_pairs(met.where("token IS NOT NULL"), labels)
+    for side in "xy":
+        across = across.join(held.select(F.col("sid").alias(side), F.col("k").alias(f"{side}k")), side, "left")
+    more = F.least(F.coalesce("xk", F.lit(0)), F.coalesce("yk", F.lit(0)))
+    across = possible(across.select("x", "xn", "y", "yn", (F.col("c") + more).alias("c"))).select("x", "y")
+    left = across.union(cross_pairs(common, labels)).union(unsettled_pairs(attached))
+    left = left.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+    done = near.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+    pairs = Scratch.write(left.join(done, ["x", "y"], "left_anti"), "pairs")
+    rest = Scratch.write(verified(pairs, full_sets(docs, pairs, chosen, "full")), "rest")
+    links = near.where("linked").select("x", "y").union(rest.where("linked").select("x", "y"))
+    roots = Scratch.write(components(links, "x", "y"), "roots")
+
     by_set = chosen.join(roots, chosen["sid"] == roots["node"], "left").select("sid", "doc_id", F.coalesce("root", "sid").alias("root"))
     least = by_set.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = by_set.join(least, "root").select("sid", "component_id")
+    classes = Scratch.write(by_set.join(least, "root").select("sid", "component_id"), "classes")
     return sets.select("doc_id", F.col("n").alias("n_shingles"), "sid").join(classes, "sid", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
