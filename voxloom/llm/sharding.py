@@ -2,7 +2,7 @@
 
 Documents with equal texts are linked through a group. A unit is a bounded part of a group, so that no move is larger than
 ``UNIT`` rows however many copies a group has. Labels begin balanced by hash. In each round a group's members count their
-shards, the one with most of them is its target, and units elsewhere want to move there; from shard to shard may go what wants to come
+shards, the one with most of them is its target (one with free places, where the fullest is full), and units elsewhere want to move there; from shard to shard may go what wants to come
 back and what the other's quota still has free, in the order of the groups' pull. Documents without links, and what a group
 larger than a shard has outside its fullest shard, are the filling: at last they, and others only where filling is used up, move from shards above their quota to those below, which makes counts equal or one apart.
 
@@ -59,23 +59,31 @@ def accepted(wants: DataFrame, free: DataFrame, buckets: int) -> DataFrame:
     return ranked.where("first + upto <= most").select("g1", "g2", "part", "own", "shard", "target")
 
 
-def fullest(units: DataFrame) -> DataFrame:
-    """(g1, g2, target, pull): the shard that holds most of each group, and how much."""
-    held = units.groupBy("g1", "g2", "shard").agg(F.sum("n").alias("held"))
-    best = F.max_by("shard", F.struct("held", F.pmod(F.xxhash64("g1", "shard"), F.lit(1 << 20))))
-    return held.groupBy("g1", "g2").agg(best.alias("target"), F.max("held").alias("pull"))
+def fullest(units: DataFrame, room: DataFrame | None = None, largest: int = 0) -> DataFrame:
+    """(g1, g2, target, pull): the shard that holds most of each group, and how much.
+
+    With ``room`` (target, free), shards with free places come first for groups of at most ``largest`` rows: a group that lies half in
+    a full shard gathers elsewhere."""
+    held = units.groupBy("g1", "g2", "members", "shard").agg(F.sum("n").alias("held"))
+    if room is not None:
+        held = held.join(F.broadcast(room.withColumnRenamed("target", "shard")), "shard", "left")
+    open_ = F.lit(True) if room is None else (F.col("members") > largest) | (F.coalesce("free", F.lit(0)) > 0)
+    tie = F.pmod(F.xxhash64("g1", "shard"), F.lit(1 << 20))
+    best = F.max_by(F.struct("shard", "held"), F.struct(open_, "held", tie))
+    return held.groupBy("g1", "g2").agg(best.alias("b")).select("g1", "g2", F.col("b.shard").alias("target"), F.col("b.held").alias("pull"))
 
 
 def propagated(units: DataFrame, quotas: DataFrame, largest: int, rounds: int, buckets: int) -> DataFrame:
     """``units`` (g1, g2, part, own, shard, members, n) after the rounds; own keeps the label a unit began with.
 
     What a group of more than ``largest`` rows has outside its fullest shard cannot be brought together and takes no quota."""
-    now = units
+    now, room = units, None
     for _ in range(rounds):
-        told = Scratch.write(now.join(fullest(now), ["g1", "g2"]), "told")
+        told = Scratch.write(now.join(fullest(now, room, largest), ["g1", "g2"]), "told")
         settled = told.where((F.col("members") <= largest) | (F.col("shard") == F.col("target")))
         load = settled.groupBy("shard").agg(F.sum("n").alias("load"))
         room = quotas.join(load, "shard", "left").select(F.col("shard").alias("target"), (F.col("quota") - F.coalesce("load", F.lit(0))).alias("free"))
+        room = Scratch.write(room, "room")
         moves = accepted(told.where("shard <> target"), room, buckets).drop("shard")
         moved = now.join(moves, ["g1", "g2", "part", "own"], "left").withColumn("shard", F.coalesce("target", "shard"))
         now = Scratch.write(moved.select("g1", "g2", "part", "own", "shard", "members", "n"), "units")
