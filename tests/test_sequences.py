@@ -231,3 +231,17 @@ def test_maps(spark):
     got = mapper.apply(spark.range(10).coalesce(1), "sizes", done=spark.range(3), on=["id"], batch=4).collect()
     assert sorted(r["n"] for r in got) == [3, 3, 3, 4, 4, 4, 4]
     assert spark.range(1).select(mapper.segmented_words(F.lit("ab cd"), lambda t: [t[:1]])).first()[0] == ["a"]
+
+
+def test_more_effects(spark):
+    t = np.arange(8000) / 8000
+    x = np.sin(2 * np.pi * 200 * t) + np.sin(2 * np.pi * 1500 * t)
+    df = spark.createDataFrame([(x.tolist(),), ([],), (None,)], "x array<double>")
+    got = df.select(W.with_band_pass(F.col("x"), 100, 400, 8000).alias("b"), W.with_pitch(F.col("x"), 2.0).alias("p"), W.with_room(F.col("x"), 0.1, 1, 8000).alias("r")).collect()
+    assert np.allclose(got[0]["b"], np.sin(2 * np.pi * 200 * t), atol=1e-6)
+    assert len(got[0]["p"]) == len(got[0]["r"]) == 8000
+    assert np.sqrt(np.mean(np.square(got[0]["r"]))) == pytest.approx(np.sqrt(np.mean(x**2)))
+    low = np.sin(2 * np.pi * 200 * t)
+    peak = np.fft.rfftfreq(8000, 1 / 8000)[np.abs(np.fft.rfft(W.shifted(low, 12.0))).argmax()]
+    assert 380 < peak < 420
+    assert tuple(got[1]) == ([], [], []) and tuple(got[2]) == (None, None, None)

@@ -228,3 +228,64 @@ def with_background(samples: Column, noise: Column, snr_db: Column | float) -> C
         return pd.Series([one(*r) for r in zip(arrays, noises, levels, strict=True)])
 
     return F.pandas_udf(run, "array<double>")(samples, noise, snr_db if isinstance(snr_db, Column) else F.lit(float(snr_db)))
+
+
+def filtered(x: np.ndarray, rate: int, low: float, high: float) -> np.ndarray:
+    """Only the frequencies between two, in Hz."""
+    spectrum, at = np.fft.rfft(x), np.fft.rfftfreq(len(x), 1 / rate)
+    return np.fft.irfft(np.where((at >= low) & (at <= high), spectrum, 0), len(x))
+
+
+def shifted(x: np.ndarray, semitones: float, frame: int = 1024) -> np.ndarray:
+    """Another pitch at the same length: a phase vocoder stretches, linear resampling brings the length back."""
+    ratio, hop, window = 2.0 ** (semitones / 12), frame // 4, np.hanning(frame)
+    padded = np.pad(x, (frame // 2, 2 * frame))
+    count = (len(padded) - frame) // hop + 1
+    spectra = np.fft.rfft(np.stack([padded[k * hop : k * hop + frame] for k in range(count)]) * window, axis=1)
+    expected = 2 * np.pi * hop * np.arange(spectra.shape[1]) / frame
+    places = np.arange(0, count - 1, 1 / ratio)
+    whole = places.astype(int)
+    part = (places - whole)[:, None]
+    size = (1 - part) * np.abs(spectra[whole]) + part * np.abs(spectra[whole + 1])
+    drift = np.angle(spectra[whole + 1]) - np.angle(spectra[whole]) - expected
+    advance = expected + drift - 2 * np.pi * np.round(drift / (2 * np.pi))
+    phase = np.angle(spectra[0]) + np.concatenate([np.zeros((1, len(expected))), np.cumsum(advance, axis=0)[:-1]])
+    frames = np.fft.irfft(size * np.exp(1j * phase), frame, axis=1) * window
+    out, weight = np.zeros(hop * len(frames) + frame), np.zeros(hop * len(frames) + frame)
+    for k, f in enumerate(frames):
+        out[k * hop : k * hop + frame] += f
+        weight[k * hop : k * hop + frame] += window**2
+    n = int(round(len(x) * ratio))
+    long = (out / np.maximum(weight, 1e-3))[frame // 2 : frame // 2 + n]
+    return np.interp(np.linspace(0, max(0, len(long) - 1), len(x)), np.arange(len(long)), long)
+
+
+def in_room(x: np.ndarray, rate: int, seconds: float, seed: int) -> np.ndarray:
+    """Convolved with decaying noise, a simple room, at the input's level and length."""
+    n = max(1, int(rate * seconds))
+    tail = np.random.default_rng(seed).normal(size=n) * np.exp(-6.9 * np.arange(n) / n)
+    tail[0] = 1.0
+    size = 1 << (len(x) + n - 1).bit_length()
+    wet = np.fft.irfft(np.fft.rfft(x, size) * np.fft.rfft(tail, size), size)[: len(x)]
+    return wet * (np.sqrt(np.mean(x**2)) / max(np.sqrt(np.mean(wet**2)), 1e-12))
+
+
+def by_kernel(samples: Column, kernel) -> Column:
+    """A numpy function of one array over a column; nulls stay null, empty arrays stay empty."""
+
+    def run(arrays: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else kernel(np.asarray(x, float)).tolist() if len(x) else [] for x in arrays])
+
+    return F.pandas_udf(run, "array<double>")(samples)
+
+
+def with_band_pass(samples: Column, low: float, high: float, rate: int = RATE) -> Column:
+    return by_kernel(samples, lambda x: filtered(x, rate, low, high))
+
+
+def with_pitch(samples: Column, semitones: float) -> Column:
+    return by_kernel(samples, lambda x: shifted(x, semitones))
+
+
+def with_room(samples: Column, seconds: float = 0.3, seed: int = 0, rate: int = RATE) -> Column:
+    return by_kernel(samples, lambda x: in_room(x, rate, seconds, seed))

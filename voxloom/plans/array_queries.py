@@ -120,6 +120,7 @@ def effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples(spark, sf_dir).select(
         "vec_id", F.size(W.with_noise(x, 3, F.col("vec_id"))).alias("noisy"), F.size(W.with_tanh(x, 0.5)).alias("bent"),
         F.array_max(W.with_clipping(x, 40)).alias("peak"), F.size(W.with_background(x, F.slice("x", 1, 7), 10.0)).alias("mixed"),
+        F.size(W.with_band_pass(x, 100.0, 6000.0)).alias("passed"), F.size(W.with_pitch(x, -2.0)).alias("shifted"), F.size(W.with_room(x)).alias("wet"),
     )
 
 
