@@ -53,11 +53,11 @@ def long_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem").where("l_quantity > 30").select("l_orderkey", "l_linenumber", "l_quantity")
 
 
-LABELS = f"(SELECT doc_id, doc_id // 16 AS batch, list_transform(({sql_tokens('text')})[1:40], lambda w: length(w)::INTEGER) AS labels FROM documents)"
+LABELS = f"(SELECT doc_id, doc_id // 16 AS batch, list_transform({sql_tokens('text')}, lambda w: length(w)::INTEGER) AS labels FROM documents)"
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = F.transform(F.slice(T.tokens(F.col("text")), 1, 40), F.char_length)
+    ids = F.transform(T.tokens(F.col("text")), F.char_length)
     return read_table(spark, sf_dir, "documents").select("doc_id", F.floor(F.col("doc_id") / 16).alias("batch"), ids.alias("labels"))
 
 

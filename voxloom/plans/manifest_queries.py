@@ -47,13 +47,13 @@ def manifest_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 5 <> 0), b AS (SELECT DISTINCT doc_id FROM labels)
+WITH a AS (SELECT DISTINCT doc_id FROM documents WHERE n_chars > 500), b AS (SELECT DISTINCT doc_id FROM labels)
 SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'left_only' ELSE 'right_only' END AS side
 FROM a FULL JOIN b ON a.doc_id = b.doc_id WHERE a.doc_id IS NULL OR b.doc_id IS NULL
 """)
 def manifest_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = tables(spark, sf_dir)
-    return M.mismatches(docs.where("doc_id % 5 <> 0"), labels, ["doc_id"])
+    return M.mismatches(docs.where("n_chars > 500"), labels, ["doc_id"])
 
 
 @query("SELECT doc_id, source, lang, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -104,10 +104,10 @@ def prune_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.pruned_dirs(named.select("dir").distinct(), aligned)
 
 
-@query("SELECT d.doc_id, source, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE d.doc_id < 100")
+@query("SELECT d.doc_id, source, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 def lookup_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = tables(spark, sf_dir)
-    return M.with_fixes(docs.where("doc_id < 100"), labels, ["doc_id"]).select("doc_id", "source", "quality")
+    return M.with_fixes(docs, labels, ["doc_id"]).select("doc_id", "source", "quality")
 
 
 @query("""

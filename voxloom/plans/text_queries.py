@@ -141,20 +141,20 @@ def vocab_count_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vocabularies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Terms of one and two words from ``benchmark``; words seen in ``documents``."""
-    items = read_table(spark, sf_dir, "benchmark").select(T.tokens(T.normalize(F.col("text"))).alias("ws"))
+    """Terms of one and two words from ``conversations``; words seen in ``documents``."""
+    items = read_table(spark, sf_dir, "conversations").select(T.tokens(T.normalize(F.col("text"))).alias("ws"))
     two = F.transform(F.sequence(F.lit(1), F.size("ws") - 1), lambda k: F.array_join(F.slice("ws", k, 2), " "))
     terms = items.where("size(ws) > 1").select(F.explode(F.concat("ws", two)).alias("word"))
-    seen = documents(spark, sf_dir).where("doc_id % 4 = 0").select(F.explode(F.array_distinct(T.tokens(T.normalize(F.col("text"))))).alias("word")).distinct()
+    seen = documents(spark, sf_dir).select(F.explode(F.array_distinct(T.tokens(T.normalize(F.col("text"))))).alias("word")).distinct()
     return terms, seen
 
 
 TERMS = f"""
-WITH b AS (SELECT {sql_tokens(SQL_NORMAL)} AS ws FROM benchmark),
+WITH b AS (SELECT {sql_tokens(SQL_NORMAL)} AS ws FROM conversations),
 terms AS (
   SELECT DISTINCT word FROM (SELECT unnest(ws) AS word FROM b WHERE len(ws) > 1 UNION ALL
     SELECT array_to_string(ws[k : k + 1], ' ') FROM (SELECT ws, unnest(generate_series(1, len(ws) - 1)) AS k FROM b WHERE len(ws) > 1))),
-seen AS (SELECT DISTINCT unnest({sql_tokens(SQL_NORMAL)}) AS word FROM documents WHERE doc_id % 4 = 0)
+seen AS (SELECT DISTINCT unnest({sql_tokens(SQL_NORMAL)}) AS word FROM documents)
 """
 
 
