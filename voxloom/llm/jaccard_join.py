@@ -354,24 +354,33 @@ def full_sets(docs: DataFrame, pairs: DataFrame, chosen: DataFrame, name: str) -
 
 #: A set is attached to a pivot if their overlap is at least this share of the larger of both.
 ATTACHED = 0.7
-CHECKED = "x long, xn int, y long, yn int, both int, linked boolean, rest binary"
+CHECKED = "x long, xn int, y long, yn int, both int, linked boolean, rest binary, b0 long, b1 long, b2 long, b3 long"
+BITS = ("b0", "b1", "b2", "b3")
+
+
+def bitmap(tokens: np.ndarray) -> list[int]:
+    """256 bits, four words, with the one of each shingle's lowest byte set."""
+    return np.packbits(np.bincount((tokens & np.uint64(255)).astype(np.int64), minlength=256).astype(bool)).view(np.int64).tolist()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``CHECKED`` for pairs (x, y): both is the overlap; rest: the shingles of x that y lacks, where y may be x's pivot."""
+    """``CHECKED`` for pairs (x, y): both is the overlap; where y may be x's pivot, rest: the shingles of x that y lacks, and a
+    bitmap of those of y that x lacks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for x, y, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                same = b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
+                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+                same = b[at] == a
                 both = int(same.sum())
                 close = y < x and both >= ATTACHED * max(len(a), len(b))
-                out.append((x, len(a), y, len(b), both, 7 * both >= 3 * (len(a) + len(b)), a[~same].tobytes() if close else None))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+                bits = bitmap(np.delete(b, at[same])) if close else [None] * 4
+                out.append((x, len(a), y, len(b), both, 7 * both >= 3 * (len(a) + len(b)), a[~same].tobytes() if close else None, *bits))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), *[pa.int64()] * 4)
             columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["x", "xn", "y", "yn", "both", "linked", "rest"])
+            yield pa.RecordBatch.from_arrays(columns, ["x", "xn", "y", "yn", "both", "linked", "rest", *BITS])
 
     one = sets.where("as_x").select(F.col("sid").alias("x"), F.col("tokens").alias("xs"))
     two = sets.where("as_y").select(F.col("sid").alias("y"), F.col("tokens").alias("ys"))
@@ -380,14 +389,14 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def members(near: DataFrame, roots: DataFrame) -> DataFrame:
-    """(x, n, p, both, rest, comp, out): every attached set with its pivot p; out: its component is not the pivot's."""
+    """(x, n, p, pn, both, rest, b0 to b3, comp, out): every attached set with its pivot p; out: its component is not the pivot's."""
     close = near.where("rest IS NOT NULL")
     first = close.groupBy("x").agg(F.min("y").alias("y"))
     own = close.join(first, ["x", "y"]).dropDuplicates(["x"])
     a, b = roots.select(F.col("node").alias("x"), F.col("root").alias("xr")), roots.select(F.col("node").alias("y"), F.col("root").alias("yr"))
     named = own.join(a, "x", "left").join(b, "y", "left")
     comp, other = F.coalesce("xr", "x"), F.coalesce("yr", "y")
-    return named.select("x", F.col("xn").alias("n"), F.col("y").alias("p"), "both", "rest", comp.alias("comp"), (comp != other).alias("out"))
+    return named.select("x", F.col("xn").alias("n"), F.col("y").alias("p"), F.col("yn").alias("pn"), "both", "rest", *BITS, comp.alias("comp"), (comp != other).alias("out"))
 
 
 def rest_shingles(of: DataFrame) -> DataFrame:
@@ -404,23 +413,55 @@ def rest_shingles(of: DataFrame) -> DataFrame:
     return of.select("rest", "p", "x", "n", "both", "comp", "out").mapInArrow(run, "token long, p long, x long, n int, both int, comp long, out boolean")
 
 
+#: Differing shingles that at least this share of a pivot's sets, and so many, have in common count as part of the pivot.
+OFTEN_SHARE, OFTEN = 0.05, 8
+
+
 def unsettled_pairs(of: DataFrame) -> DataFrame:
     """(x, y): pairs with one pivot and different components that the pivot's answers leave open.
 
-    Of such a pair one is outside the pivot's component. overlap(x, y) <= least(both) + shingles of rest that x and y share."""
+    The pivot is widened by the shingles that many of its sets have and it lacks itself. Then for any two of its sets
+    overlap(x, y) <= least(overlap with the wide pivot) + shingles outside it that both have, and it equals both overlaps together,
+    less the wide pivot, more what both lack of it, more what both have outside it. Of a pair in question one set is outside the
+    pivot's component."""
     stars = of.where("out").select("p").distinct()
     some = of.join(stars, "p", "left_semi")
-    shingles = rest_shingles(some)
-    left = shingles.where("out").select("p", "token", "x", F.col("n").alias("xn"), F.col("both").alias("xb"), F.col("comp").alias("xc"))
-    right = shingles.select("p", "token", F.col("x").alias("y"), F.col("n").alias("yn"), F.col("both").alias("yb"), F.col("comp").alias("yc"), F.col("out").alias("yout"))
-    met = left.join(right, ["p", "token"]).where("xc <> yc AND (NOT yout OR x < y)")
+    shingles = Scratch.write(rest_shingles(some), "differing")
+    sizes = some.groupBy("p").agg(F.count("*").alias("m"))
+    counts = shingles.groupBy("p", "token").agg(F.count("*").alias("k")).join(sizes, "p")
+    often = Scratch.write(counts.where((F.col("k") >= OFTEN) & (F.col("k") >= OFTEN_SHARE * F.col("m"))).select("p", "token"), "often")
+    gained = shingles.join(often, ["p", "token"], "left_semi").groupBy("x").agg(F.count("*").alias("h"))
+    wide = often.groupBy("p").agg(F.count("*").alias("hn"))
+    set_bits = F.bit_count("b0") + F.bit_count("b1") + F.bit_count("b2") + F.bit_count("b3")
+    widened = some.drop("rest").join(gained, "x", "left").join(wide, "p", "left").withColumns({
+        "spare": F.col("pn") - F.col("both") - set_bits,  # lacking shingles beyond one a bit
+        "both": F.col("both") + F.coalesce("h", F.lit(0)),
+        "pn": F.col("pn") + F.coalesce("hn", F.lit(0)),
+        "hl": F.coalesce("hn", F.lit(0)) - F.coalesce("h", F.lit(0)),  # lacking shingles of the widening
+    }).drop("h", "hn")
+    widened = Scratch.write(widened, "widened")
+    few = shingles.join(often, ["p", "token"], "left_anti").select("p", "token", "x").join(widened.select("x", "n", "both", "comp", "out"), "x")
+    few = Scratch.write(few, "few")
+
+    left = few.where("out").select("p", "token", "x", F.col("n").alias("xn"), F.col("both").alias("xb"), F.col("comp").alias("xc"))
+    right = few.select("p", "token", F.col("x").alias("y"), F.col("n").alias("yn"), F.col("both").alias("yb"), F.col("comp").alias("yc"), F.col("out").alias("yout"))
+    met = left.join(right, ["p", "token"]).where("xc <> yc AND (NOT yout OR x < y) AND 4L * least(xn, yn) >= 3L * greatest(xn, yn)")
     shared = met.groupBy("x", "y").agg(F.count("*").alias("a"), F.first("xn").alias("xn"), F.first("yn").alias("yn"), F.min(F.least("xb", "yb")).alias("b"))
     sharing = shared.where("7L * (a + b) >= 3L * (xn + yn)").select("x", "y")
-    outs = some.where("out").select("p", "x", F.col("n").alias("xn"), F.col("both").alias("xb"), F.col("comp").alias("xc"))
-    sizes = some.select("p", F.col("n").alias("yn")).distinct()
-    open_sizes = outs.join(sizes, "p").where("7L * xb >= 3L * (xn + yn) AND 4L * least(xn, yn) >= 3L * greatest(xn, yn)")
-    inside = some.select("p", F.col("n").alias("yn"), F.col("x").alias("y"), F.col("both").alias("yb"), F.col("comp").alias("yc"), F.col("out").alias("yout"))
-    smaller = open_sizes.join(inside, ["p", "yn"]).where("xc <> yc AND (NOT yout OR x < y) AND 7L * yb >= 3L * (xn + yn)").select("x", "y")
+
+    x_bits, y_bits = ([F.col(b).alias(f"{side}{b}") for b in BITS] for side in "xy")
+    outs = widened.where("out").select(
+        "p", "pn", "x", F.col("n").alias("xn"), F.col("both").alias("xb"), F.col("comp").alias("xc"), F.col("spare").alias("xs"), F.col("hl").alias("xl"), *x_bits
+    )
+    classes = widened.select("p", F.col("n").alias("yn")).distinct()
+    open_sizes = outs.join(classes, "p").where("7L * xb >= 3L * (xn + yn) AND 4L * least(xn, yn) >= 3L * greatest(xn, yn)")
+    inside = widened.select(
+        "p", F.col("n").alias("yn"), F.col("x").alias("y"), F.col("both").alias("yb"), F.col("comp").alias("yc"), F.col("out").alias("yout"), F.col("hl").alias("yl"), *y_bits
+    )
+    # these pairs need no shingle outside the pivot; what both lack of it is at most their common bits and what x has beyond one a bit
+    lacking = "+".join(f"bit_count(x{b} & y{b})" for b in BITS)
+    enough = f"7L * (xb + yb - pn + {lacking} + xs + least(xl, yl)) >= 3L * (xn + yn)"
+    smaller = open_sizes.join(inside, ["p", "yn"]).where(f"xc <> yc AND (NOT yout OR x < y) AND 7L * yb >= 3L * (xn + yn) AND {enough}").select("x", "y")
     return sharing.union(smaller).distinct()
 
 
@@ -436,8 +477,11 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     Scratch.drop(spark, wide_at)
     chosen = Scratch.write(sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "chosen")
 
-    starred = counted(met.where("x IS NOT NULL").select("x", "xn", "y", "yn", "c").union(pivot_pairs(common)))
-    pairs = Scratch.write(possible(starred).select("x", "y"), "pairs")
+    by_common = Scratch.write(pivot_pairs(common), "by-common")
+    starred = counted(met.where("x IS NOT NULL").select("x", "xn", "y", "yn", "c").union(by_common))
+    # pivots of common lists are also measured where no link is possible: sets near a large group's pivot are then attached to it
+    measured = possible(starred).select("x", "y").union(by_common.where("c > 1").select("x", "y")).distinct()
+    pairs = Scratch.write(measured, "pairs")
     near = Scratch.write(verified(pairs, full_sets(docs, pairs, chosen, "full")), "near")
     roots = Scratch.write(components(near.where("linked").select("x", "y"), "x", "y"), "roots")
 
