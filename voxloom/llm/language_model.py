@@ -40,6 +40,8 @@ CLASSES = BANDS * ENDINGS
 SIZES = (1 << 13, 1 << 13, 1 << 14)
 FEATURES, PART = sum(SIZES), 1 << 10
 ROUNDS, RATE, STEP_TOKENS, TRAINER_TOKENS = 2, 0.1, 8192, 4_000_000
+#: Bytes of text that a task works on at once, about.
+TEXT = 3_000_000
 #: A word of its own that no text can hold, and what stands before a text.
 END_WORD, BEFORE = "\n", np.uint64(0)
 
@@ -71,7 +73,7 @@ def word_counts(train: DataFrame) -> DataFrame:
     """(key, c) of every distinct token of the training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, 0):
+        for batch in bounded(batches, 0, TEXT):
             keys, codes, _ = tokens(batch.column(0))
             n = np.bincount(codes, minlength=len(keys))
             some = n > 0
@@ -140,7 +142,8 @@ class Slice:
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, part: int, parts: int):
         at = np.argsort(keys)
-        self.keys, self.counts, self.part, self.parts = keys[at], counts[at], part, parts
+        narrow = np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.int64
+        self.keys, self.counts, self.part, self.parts = keys[at], counts[at].astype(narrow), part, parts
 
     def mine(self, keys: np.ndarray) -> np.ndarray:
         return (keys >> np.uint64(8)) % np.uint64(self.parts) == self.part if self.parts > 1 else np.ones(len(keys), bool)
@@ -149,7 +152,7 @@ class Slice:
         if not len(self.keys):
             return np.zeros(len(keys), np.int64)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.counts[at], 0)
+        return np.where(self.keys[at] == keys, self.counts[at], 0).astype(np.int64)
 
 
 def slices(counts: DataFrame, distinct: int, most: int) -> Iterator[Slice]:
@@ -168,7 +171,7 @@ def gradient_round(train: DataFrame, known: Slice, classes: Classes, weights: np
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, told, start = held.value
         now, speed, n = start.copy(), np.full(FEATURES, 1e-2, np.float32), 0
-        for batch in bounded(batches, 0):
+        for batch in bounded(batches, 0, TEXT):
             keys, codes, starts = tokens(batch.column(0))
             of = told.of(words.count(keys), (keys & np.uint64(ENDINGS - 1)).astype(np.int64))[codes]
             rows = history(keys, codes, starts)
@@ -220,7 +223,7 @@ def slice_scores(docs: DataFrame, known: Slice, classes: Classes, weights: np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, told, table = held.value
-        for batch in bounded(batches, 2):
+        for batch in bounded(batches, 2, TEXT):
             keys, codes, starts = tokens(batch.column(2))
             count, mine = words.count(keys), words.mine(keys)
             of = told.of(count, (keys & np.uint64(ENDINGS - 1)).astype(np.int64))
