@@ -330,8 +330,8 @@ def rare_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
 MOST_SENT = 400_000
 
 
-def full_sets(docs: DataFrame, pairs: DataFrame, chosen: DataFrame, name: str) -> DataFrame:
-    """(sid, tokens, as_x, as_y) of the sets in ``pairs``, written; as_x, as_y: on which side they are needed."""
+def full_sets(docs: DataFrame, pairs: DataFrame, chosen: DataFrame) -> tuple[DataFrame, str]:
+    """(sid, tokens, as_x, as_y) of the sets in ``pairs``, written, and where; as_x, as_y: on which side they are needed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, 1):
@@ -349,7 +349,7 @@ def full_sets(docs: DataFrame, pairs: DataFrame, chosen: DataFrame, name: str) -
     if wanted.count() <= MOST_SENT:
         wanted = F.broadcast(wanted)
     read = docs.select("doc_id", "text").join(wanted, "doc_id").select("sid", "text", "as_x", "as_y")
-    return Scratch.write(read.mapInArrow(run, "sid long, tokens binary, as_x boolean, as_y boolean"), name)
+    return Scratch.write_at(read.mapInArrow(run, "sid long, tokens binary, as_x boolean, as_y boolean"), "full")
 
 
 #: A set is attached to a pivot if their overlap is at least this share of the larger of both.
@@ -482,7 +482,9 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     # pivots of common lists are also measured where no link is possible: sets near a large group's pivot are then attached to it
     measured = possible(starred).select("x", "y").union(by_common.where("c > 1").select("x", "y")).distinct()
     pairs = Scratch.write(measured, "pairs")
-    near = Scratch.write(verified(pairs, full_sets(docs, pairs, chosen, "full")), "near")
+    full, full_at = full_sets(docs, pairs, chosen)
+    near = Scratch.write(verified(pairs, full), "near")
+    Scratch.drop(spark, full_at)
     roots = Scratch.write(components(near.where("linked").select("x", "y"), "x", "y"), "roots")
 
     attached = Scratch.write(members(near, roots), "members")
@@ -500,7 +502,9 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     left = left.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
     done = near.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
     pairs = Scratch.write(left.join(done, ["x", "y"], "left_anti"), "pairs")
-    rest = Scratch.write(verified(pairs, full_sets(docs, pairs, chosen, "full")), "rest")
+    full, full_at = full_sets(docs, pairs, chosen)
+    rest = Scratch.write(verified(pairs, full), "rest")
+    Scratch.drop(spark, full_at)
     links = near.where("linked").select("x", "y").union(rest.where("linked").select("x", "y"))
     roots = Scratch.write(components(links, "x", "y"), "roots")
 
