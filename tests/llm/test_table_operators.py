@@ -30,6 +30,20 @@ def test_ids_equal_the_tokenizers_library(texts):
         assert encode(text) == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_in_a_text_get_their_own_id(spark):
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(packing.default_tokenizer())
+    texts = dict(enumerate(["<|endoftext|> a", "a <|endoftext|>\n\n<|endoftext|><|endoftext|>b's", "<|endoftext|", "é <|endoftext|>" * 900, "none"]))
+    got = packing.pieces(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), size=64).collect()
+    assert library.encode(texts[0], add_special_tokens=False).ids == [50256, 257]
+    for d, text in texts.items():
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        mine = sorted((r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got if r["doc_id"] == d)
+        assert mine == [(k, s, n, zlib.crc32(ids[s : s + n].tobytes())) for k, (s, n) in enumerate(packing.cut(len(ids), 64))]
+
+
 def test_cut():
     assert packing.cut(1) == [(0, 1)]
     assert packing.cut(2048) == [(0, 2048)]

@@ -9,8 +9,8 @@ others are dealt by a hash into groups of about ``GROUP`` pieces; groups are pac
 are bounded and each group leaves about one sequence with room.
 
 The ids are those of the ``tokenizers`` file whose path is a parameter. They are computed by ``tiktoken`` over the vocabulary
-read from that file, which gives equal ids (a test holds one against the other) about three times as fast. Strings of
-special tokens in a text are ordinary text.
+read from that file, which gives equal ids (a test holds one against the other) about three times as fast. Texts that hold
+the string of one of the file's added tokens go to ``tokenizers`` itself, with the file's own settings, and so get its id.
 
 Defined cases: a null or empty text is the single id ``END``; repeated rows are packed each; an empty table packs nothing;
 further columns are ignored.
@@ -53,7 +53,7 @@ def byte_letters() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """Text -> ids, with the vocabulary of a byte-level BPE file of ``tokenizers``."""
+    """Text -> ids, with the vocabulary of a byte-level BPE file of ``tokenizers``; added tokens are ordinary text."""
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
@@ -64,6 +64,23 @@ def encoder(path: str):
     return tiktoken.Encoding("own", pat_str=CUT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+@lru_cache(maxsize=2)
+def whole_encoder(path: str):
+    """Text -> the ids of ``Tokenizer.encode(text, add_special_tokens=False)``, added tokens in the text included."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        added = [x["content"] for x in json.load(f).get("added_tokens", ())]
+    plain, library = encoder(path), Tokenizer.from_file(path)
+
+    def encode(text: str) -> list[int]:
+        if any(a in text for a in added):
+            return library.encode(text, add_special_tokens=False).ids
+        return plain(text)
+
+    return encode
+
+
 def cut(n: int, size: int = SEQUENCE) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens: all full but perhaps the first."""
     first = (n - 1) % size + 1
@@ -78,7 +95,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE)
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode = whole_encoder(path)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
