@@ -142,6 +142,34 @@ def test_language_model_slices_agree(docs):
         assert (many[d]["n_tokens"], many[d]["n_known"]) == (r["n_tokens"], r["n_known"])
 
 
+def test_language_model_learns_words_within_a_class(spark):
+    """All words end alike and are about as frequent, so that classes tell them into four bands at most."""
+    text = " ".join([f"w{k}xx" for k in range(64)] * 4)
+    docs = spark.createDataFrame([(k, text) for k in range(60)], "doc_id long, text string")
+    held = [r for r in language_model.scored(docs).collect() if r["held_out"]]
+    assert held and sum(r["score"] for r in held) > 0.6 * sum(r["base_score"] for r in held)
+
+
+def test_language_model_word_factor_sums_to_one():
+    import numpy as np
+
+    keys = language_model.word_keys([f"word{k}" for k in range(500)])
+    counts = np.arange(1, 501)
+    ending = (keys & np.uint64(language_model.ENDINGS - 1)).astype(np.int64)
+    classes = language_model.Classes([(int(c), int(e), 1) for c, e in zip(counts, ending, strict=True)])
+    model = language_model.Model(classes)
+    model.learn_counts(classes, iter([language_model.Slice(keys, counts, 0, 1)]))
+    model.of_tree[:] = np.random.default_rng(1).normal(0, 1, 1 << model.tree_bits)
+    of = classes.of(counts, ending)
+    assert (model.trained_class(keys) == of).all()
+    hashes = tuple(np.full(500, h, np.uint64) for h in (5 << 60, 7 << 55, 9 << 58))
+    logs = classes.word_log10(counts, of) + model.tree_log10(model.paths(keys, of), np.arange(500), hashes)
+    for k in range(language_model.CLASSES):
+        n, words = classes.tokens[k], classes.words[k]
+        spare = 0.5 / (n + 0.5 * (words + 1)) if k < language_model.ENDINGS else 0
+        assert (10 ** logs[of == k]).sum() + spare == pytest.approx(1, rel=1e-4)
+
+
 def test_language_model_beats_words_alone(spark):
     """Held-out text that follows an order the model can learn."""
     text = " ".join(["red green blue stop"] * 40)

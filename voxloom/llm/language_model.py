@@ -1,17 +1,20 @@
 """Hashed maximum-entropy language model (operator 9).
 
-``P(word | history) = P(class | history) * P(word | class)``. The class of a word follows from its training count (bands of
-equal token mass) and a hash of its last two letters. The class factor is a softmax over weights of hashed features: the
-word before, the word before that (a skip feature) and both together. The word factor is smoothed within its class. Unknown
-words share the free place of the rarest band's class of their ending.
-
-Counts of all training words are grouped in Spark, keyed by 64-bit hashes of the words. The weights (a table of fixed size) are trained by
-distributed gradient updates: in each round every task takes Adagrad steps from the common weights over its own training documents, and the
+``P(word | history) = P(class | history) * P(word | class, history)``. The class of a word follows from its training count (bands
+of equal token mass) and a hash of its last two letters. The class factor is a softmax over weights of hashed features: the word
+before, the word before that (a skip feature) and both together. The word factor goes down a binary tree of nested classes, by the
+bits of the word's hash, to the word: each step is a softmax of two over weights of the same features with the node, on top of
+the step's share by counts. Leaves are at least twice as many as a class has words; words that still meet in one share it by
+count. Unknown words share the free place of the rarest band's class of their ending, which no feature moves.
+
+Counts of all training words are grouped in Spark, keyed by 64-bit hashes of the words. The weights (tables that grow
+with the cube root of the training tokens) are trained by distributed gradient updates: in each round every task takes Adagrad steps from the common weights over its own training documents, and the
 changes are averaged by their tokens. Rounds see disjoint parts of the training documents, so each is read once for training.
 Scoring runs over numpy batches: counts and classes are looked up once for each distinct word of a batch.
 
-The counts are sent to the tasks in slices of at most ``SLICE`` words, whose size is so bounded; with more words, several passes each
-add up the tokens of their own slice.
+Training needs no counts: a word is in the rarest band unless it is one of the few in a compact table of the others, and its steps
+lie in the tree's array (at most 16 bytes a word). So it runs once over all tokens at every size. Scoring is sent the counts in
+slices of at most ``SLICE`` words; with more words, several passes each add up the tokens of their own slice, whose sum is the same.
 
 Defined cases: a null, empty or blank text is the end token alone; without training documents the model is uniform; a null
 doc_id counts as the empty text for the fold; repeated rows give a row each; further columns are ignored.
@@ -20,6 +23,8 @@ doc_id counts as the empty text for the fold; repeated rows give a row each; fur
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -36,10 +41,10 @@ FOLDS, HELD_OUT = 5, 1
 SLICE = 8_000_000
 BANDS, ENDINGS = 4, 4
 CLASSES = BANDS * ENDINGS
-#: Hashed features of the word before, the one before that, and both.
-SIZES = (1 << 13, 1 << 13, 1 << 14)
-FEATURES, PART = sum(SIZES), 1 << 10
-ROUNDS, RATE, STEP_TOKENS, TRAINER_TOKENS = 2, 0.1, 8192, 4_000_000
+#: Weights that a task hands over at once; tokens of a class step and of a trainer, before growth.
+PART, ROUNDS, RATE, STEP_TOKENS, TRAINER_TOKENS = 1 << 14, 2, 0.1, 8192, 4_000_000
+#: Tokens whose steps fit a processor's cache.
+AT_ONCE = 4096
 #: Bytes of text that a task works on at once, about.
 TEXT = 3_000_000
 #: A word of its own that no text can hold, and what stands before a text.
@@ -114,7 +119,7 @@ class Classes:
 
 
 def history(keys: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of the weight table for the three features of each token."""
+    """Hashes of the three features of each token."""
     one, two = np.empty(len(codes), np.uint64), np.empty(len(codes), np.uint64)
     of = keys[codes]
     one[1:], two[2:] = of[:-1], of[:-2]
@@ -123,11 +128,124 @@ def history(keys: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> tuple[np
     two[starts[:-1]] = BEFORE
     second = starts[:-1] + 1
     two[second[second < starts[1:]]] = BEFORE
-    a, b, c = (np.uint64(64 - int(n).bit_length() + 1) for n in SIZES)
-    f1 = mixed(one * STEP) >> a
-    f2 = (mixed(two * STEP + np.uint64(1)) >> b) + np.uint64(SIZES[0])
-    f3 = (mixed(one * STEP + two) >> c) + np.uint64(SIZES[0] + SIZES[1])
-    return f1.astype(np.int64), f2.astype(np.int64), f3.astype(np.int64)
+    return mixed(one * STEP), mixed(two * STEP + np.uint64(1)), mixed(one * STEP + two)
+
+
+class Model:
+    """Weights of the class factor and of the tree in one array, and the tree's shares by counts."""
+
+    def __init__(self, classes: Classes):
+        self.growth = round((np.log2(max(2, classes.total)) - 22) / 3)
+        bits = max(0, self.growth)
+        #: Rows of the class factor for the word before, the one before that, and both.
+        self.sizes = (1 << (13 + bits), 1 << (13 + bits), 1 << (14 + bits))
+        self.rows, self.tree_bits = sum(self.sizes), max(14, 18 + self.growth)
+        self.weights = np.zeros(self.rows * CLASSES + (1 << self.tree_bits), np.float32)
+        self.depth = np.array([max(0, int(n) - 1).bit_length() + 1 for n in classes.words], np.int64)
+        self.first = np.concatenate([[0], np.cumsum(1 << self.depth)])
+        self.logits = np.zeros(0, np.float32)
+        self.common, self.bands = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    @property
+    def of_classes(self) -> np.ndarray:
+        return self.weights[: self.rows * CLASSES].reshape(-1, CLASSES)
+
+    @property
+    def of_tree(self) -> np.ndarray:
+        return self.weights[self.rows * CLASSES :]
+
+    def learn_counts(self, classes: Classes, parts: Iterator[Slice]) -> None:
+        """The shares of the tree's nodes, and the words outside the rarest band."""
+        mass, common, bands = np.zeros(self.first[-1], np.float32), [], []
+        for part in parts:
+            of = classes.of(part.counts.astype(np.int64), (part.keys & np.uint64(ENDINGS - 1)).astype(np.int64))
+            leaf = self.first[of] + (part.keys >> (64 - self.depth[of]).astype(np.uint64)).astype(np.int64)
+            np.add.at(mass, leaf, part.counts.astype(np.float32) + np.float32(0.5))
+            some = of >= ENDINGS
+            common.append(part.keys[some])
+            bands.append(of[some] // ENDINGS)
+        keys, bands = np.concatenate([*common, self.common]), np.concatenate([*bands, self.bands])
+        at = np.argsort(keys)
+        self.common, self.bands = keys[at], bands[at].astype(np.int8)
+        self.logits = np.full(self.first[-1], np.nan, np.float32)
+        for start, depth in zip(self.first[:-1].tolist(), self.depth.tolist(), strict=True):
+            m = mass[start : start + (1 << depth)]
+            for d in range(depth - 1, -1, -1):
+                left, right = m[0::2], m[1::2]
+                both = (left > 0) & (right > 0)
+                self.logits[start + (1 << d) : start + (2 << d)][both] = np.log(right[both] / left[both])
+                m = left + right
+
+    def trained_class(self, keys: np.ndarray) -> np.ndarray:
+        """The class of words of the training documents."""
+        band = np.zeros(len(keys), np.int64)
+        if len(self.common):
+            at = np.minimum(np.searchsorted(self.common, keys), len(self.common) - 1)
+            band = np.where(self.common[at] == keys, self.bands[at], 0).astype(np.int64)
+        return band * ENDINGS + (keys & np.uint64(ENDINGS - 1)).astype(np.int64)
+
+    def class_rows(self, hashes: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        starts = np.cumsum([0, *self.sizes[:-1]])
+        return tuple((h >> np.uint64(65 - int(n).bit_length())).astype(np.int64) + s for h, n, s in zip(hashes, self.sizes, starts, strict=True))
+
+    def paths(self, keys: np.ndarray, of: np.ndarray) -> Paths:
+        """The nodes with two sides on the way to each known word."""
+        depth = self.depth[of]
+        word = np.repeat(np.arange(len(keys)), depth)
+        d = np.arange(len(word)) - np.repeat(np.cumsum(depth) - depth, depth)
+        left = depth[word] - d
+        lead = (keys >> (64 - depth).astype(np.uint64)).astype(np.int64)[word]
+        node = self.first[of][word] + (np.int64(1) << d) + (lead >> left)
+        base = self.logits[node]
+        some = np.isfinite(base)
+        right = ((lead >> (left - 1)) & 1)[some].astype(np.float32)
+        n = np.bincount(word[some], minlength=len(keys))
+        base, side = base[some], 2 * right - 1
+        share = np.bincount(word[some], np.log(1 + np.exp(-side * base)), len(keys))
+        return Paths(node[some].astype(np.uint64) * STEP, base, side, np.cumsum(n) - n, n, share)
+
+    def steps(self, paths: Paths, codes: np.ndarray, hashes: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """(token, path entry, tree weights of the three features, logit) of each step of the tokens ``codes``."""
+        n = paths.count[codes]
+        token = np.repeat(np.arange(len(codes)), n)
+        at = np.arange(len(token)) + np.repeat(paths.start[codes] - (np.cumsum(n) - n), n)
+        node, shift = paths.node[at], np.uint64(64 - self.tree_bits)
+        places = [((h[token] + node) >> shift).view(np.int64) for h in hashes]
+        table = self.of_tree
+        return token, at, places, paths.base[at] + table[places[0]] + table[places[1]] + table[places[2]]
+
+    def tree_log10(self, paths: Paths, codes: np.ndarray, hashes: tuple[np.ndarray, ...]) -> np.ndarray:
+        """What the features add to log10 P(word | class) of each token."""
+        token, at, _, z = self.steps(paths, codes, hashes)
+        z *= paths.side[at]
+        np.exp(np.negative(z, out=z), out=z)
+        z += 1
+        return (paths.share[codes] - np.bincount(token, np.log(z, out=z), len(codes))) / np.log(10)
+
+    def tree_step(self, paths: Paths, codes: np.ndarray, hashes: tuple[np.ndarray, ...], speed: np.ndarray) -> None:
+        """One Adagrad step of the tree's weights."""
+        where, pushes = [], []
+        for s in range(0, len(codes), AT_ONCE):
+            _, at, places, z = self.steps(paths, codes[s : s + AT_ONCE], tuple(h[s : s + AT_ONCE] for h in hashes))
+            push = 1 / (1 + np.exp(-z)) - (paths.side[at] > 0)
+            where += places
+            pushes += [push] * 3
+        step = np.bincount(np.concatenate(where), np.concatenate(pushes), 1 << self.tree_bits).astype(np.float32)
+        speed += step * step
+        step *= np.float32(RATE)
+        self.of_tree[:] -= np.divide(step, np.sqrt(speed), out=step)
+
+
+class Paths(NamedTuple):
+    """Steps to each of some words: node times ``STEP``, logit by counts, side (1 right, -1 left); where a word's begin, how many,
+    and minus the sum of their natural logarithms by counts."""
+
+    node: np.ndarray
+    base: np.ndarray
+    side: np.ndarray
+    start: np.ndarray
+    count: np.ndarray
+    share: np.ndarray
 
 
 def class_log(weights: np.ndarray, rows: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -163,38 +281,45 @@ def slices(counts: DataFrame, distinct: int, most: int) -> Iterator[Slice]:
         yield Slice(got["key"].to_numpy().view(np.uint64), got["c"].to_numpy(), part, parts)
 
 
-def gradient_round(train: DataFrame, known: Slice, classes: Classes, weights: np.ndarray, trainers: int) -> DataFrame:
+def gradient_round(train: DataFrame, model: Model, trainers: int) -> DataFrame:
     """(part, n, change): what each task's steps change in each part of the weights, and its tokens."""
-    spark = train.sparkSession
-    held = spark.sparkContext.broadcast((known, classes, weights))
+    held = train.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, told, start = held.value
-        now, speed, n = start.copy(), np.full(FEATURES, 1e-2, np.float32), 0
+        told, n = copy(held.value), 0
+        start = told.weights
+        told.weights = start.copy()
+        now, speed, tree_speed = told.of_classes, np.full(told.rows, 1e-2, np.float32), np.full(1 << told.tree_bits, 1e-2, np.float32)
+        tree_tokens = 1 << (told.tree_bits - 6)
         for batch in bounded(batches, 0, TEXT):
             keys, codes, starts = tokens(batch.column(0))
-            of = told.of(words.count(keys), (keys & np.uint64(ENDINGS - 1)).astype(np.int64))[codes]
-            rows = history(keys, codes, starts)
-            chosen = np.flatnonzero(words.mine(keys)[codes])
-            for s in range(0, len(chosen), STEP_TOKENS):
-                at = chosen[s : s + STEP_TOKENS]
-                mine = tuple(r[at] for r in rows)
+            used = np.bincount(codes, minlength=len(keys)) > 0
+            word_class = told.trained_class(keys)
+            of, hashes = word_class[codes], history(keys, codes, starts)
+            rows, paths = told.class_rows(hashes), told.paths(keys[used], word_class[used])
+            place = np.cumsum(used) - 1
+            for s in range(0, len(codes), STEP_TOKENS):
+                cut = slice(s, s + STEP_TOKENS)
+                mine = tuple(r[cut] for r in rows)
                 push = np.exp(class_log(now, mine))
-                push[np.arange(len(at)), of[at]] -= 1
+                push[np.arange(len(push)), of[cut]] -= 1
                 for r in mine:
                     order = np.argsort(r, kind="stable")
-                    each, first, count = np.unique(r[order], return_index=True, return_counts=True)
+                    ordered = r[order]
+                    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+                    each, count = ordered[first], np.diff(first, append=len(ordered))
                     step = np.add.reduceat(push[order], first, axis=0) / np.sqrt(count)[:, None].astype(np.float32)
                     speed[each] += (step * step).mean(axis=1)
                     now[each] -= RATE * step / np.sqrt(speed[each])[:, None]
-                n += len(at)
+            for s in range(0, len(codes), tree_tokens):
+                cut = slice(s, s + tree_tokens)
+                told.tree_step(paths, place[codes[cut]], tuple(h[cut] for h in hashes), tree_speed)
+            n += len(codes)
         if n:
-            change = (now - start).astype(np.float32).reshape(-1, PART, CLASSES)
-            some = [k for k in range(len(change)) if change[k].any()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([n] * len(some), pa.int64()), pa.array([change[k].tobytes() for k in some], pa.binary())],
-                ["part", "n", "change"],
-            )
+            change = (told.weights - start).reshape(-1, PART)
+            for k in np.flatnonzero(change.any(axis=1)).tolist():
+                columns = [pa.array([k], pa.int32()), pa.array([n], pa.int64()), pa.array([change[k].astype(np.float16).tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "n", "change"])
 
     return train.select("text").coalesce(trainers).mapInArrow(run, "part int, n long, change binary")
 
@@ -203,36 +328,40 @@ def averaged(changes: DataFrame, weights: np.ndarray, tokens_seen: float) -> np.
     """The weights after one round."""
 
     def add(part: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(PART * CLASSES, np.float64)
+        total = np.zeros(PART, np.float64)
         for n, change in zip(rows["n"], rows["change"], strict=True):
-            total += n * np.frombuffer(change, np.float32)
-        return pd.DataFrame({"part": [part[0]], "change": [total.astype(np.float32).tobytes()]})
+            total += n * np.frombuffer(change, np.float16).astype(np.float64)
+        return pd.DataFrame({"part": [part[0]], "change": [(total / tokens_seen).astype(np.float32).tobytes()]})
 
-    new = weights.copy().reshape(-1, PART, CLASSES)
-    for row in changes.groupBy("part").applyInPandas(add, "part int, change binary").collect():  # a table of fixed size
-        new[row["part"]] += np.frombuffer(row["change"], np.float32).reshape(PART, CLASSES) / np.float32(tokens_seen)
-    return new.reshape(-1, CLASSES)
+    new = weights.copy().reshape(-1, PART)
+    for row in changes.groupBy("part").applyInPandas(add, "part int, change binary").collect():  # as large as the weights
+        new[row["part"]] += np.frombuffer(row["change"], np.float32)
+    return new.reshape(-1)
 
 
 SCORES = "doc_id long, row long, n_tokens long, n_known long, base_score double, score double"
 
 
-def slice_scores(docs: DataFrame, known: Slice, classes: Classes, weights: np.ndarray) -> DataFrame:
+def slice_scores(docs: DataFrame, known: Slice, classes: Classes, model: Model) -> DataFrame:
     """The sums over the tokens of one slice, for every row of ``docs`` (doc_id, row, text)."""
-    held = docs.sparkSession.sparkContext.broadcast((known, classes, weights))
+    held = docs.sparkSession.sparkContext.broadcast((known, classes, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, told, table = held.value
+        words, told, fit = held.value
         for batch in bounded(batches, 2, TEXT):
             keys, codes, starts = tokens(batch.column(2))
             count, mine = words.count(keys), words.mine(keys)
             of = told.of(count, (keys & np.uint64(ENDINGS - 1)).astype(np.int64))
             values = np.stack([mine, mine & (count > 0), np.where(mine, told.base_log10(count), 0.0), np.where(mine, told.word_log10(count, of), 0.0)], axis=1).astype(np.float64)[codes]
-            rows, of = history(keys, codes, starts), of[codes]
-            for s in range(0, len(codes), 1 << 15):
-                cut = slice(s, s + (1 << 15))
-                logs = class_log(table, tuple(r[cut] for r in rows))
-                values[cut, 3] += np.where(values[cut, 0] > 0, logs[np.arange(len(logs)), of[cut]] / np.log(10), 0.0)
+            hashes, seen = history(keys, codes, starts), mine & (count > 0)
+            rows, paths = fit.class_rows(hashes), fit.paths(keys[seen], of[seen])
+            place, of, chosen = np.cumsum(seen) - 1, of[codes], np.flatnonzero(mine[codes])
+            for s in range(0, len(chosen), AT_ONCE):
+                at = chosen[s : s + AT_ONCE]
+                logs = class_log(fit.of_classes, tuple(r[at] for r in rows))
+                values[at, 3] += logs[np.arange(len(at)), of[at]] / np.log(10)
+                at = at[seen[codes[at]]]
+                values[at, 3] += fit.tree_log10(paths, place[codes[at]], tuple(h[at] for h in hashes))
             if not len(starts) - 1:
                 continue
             sums = np.add.reduceat(values, starts[:-1], axis=0)
@@ -242,37 +371,34 @@ def slice_scores(docs: DataFrame, known: Slice, classes: Classes, weights: np.nd
     return docs.mapInArrow(run, SCORES)
 
 
-def fitted(train: DataFrame, most: int = SLICE, rounds: int = ROUNDS) -> tuple[DataFrame, Classes, np.ndarray]:
-    """(the written counts, the classes, the weights) from training documents (doc_id, text)."""
+def fitted(train: DataFrame, most: int = SLICE, rounds: int = ROUNDS) -> tuple[DataFrame, Classes, Model]:
+    """(the written counts, the classes, the trained model) from training documents (doc_id, text)."""
     counts = Scratch.write(word_counts(train), "counts")
     ending = F.col("key").bitwiseAND(F.lit(ENDINGS - 1))
     table = counts.groupBy("c", ending.alias("e")).agg(F.count("*").alias("n")).collect()
     classes = Classes([(r["c"], r["e"], r["n"]) for r in table])
-    weights = np.zeros((FEATURES, CLASSES), np.float32)
+    model = Model(classes)
     if not classes.total:
-        return counts, classes, weights
+        return counts, classes, model
+    model.learn_counts(classes, slices(counts, classes.distinct, most))
     prior = np.log(np.maximum(classes.tokens, 0.5) / max(1.0, classes.tokens.sum())) / 3
-    weights += prior.astype(np.float32)
-    trainers = max(1, -(-classes.total // TRAINER_TOKENS))
+    model.of_classes[:] = prior.astype(np.float32)
+    trainers = max(1, -(-classes.total // (TRAINER_TOKENS << max(0, model.growth // 2))))
     for k in range(rounds):
         part = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k)
-        changes = None
-        for known in slices(counts, classes.distinct, most):
-            got = gradient_round(part, known, classes, weights, trainers)
-            changes = got if changes is None else changes.union(got)
-        changes = Scratch.write(changes, "changes")
+        changes = Scratch.write(gradient_round(part, model, trainers), "changes")
         seen = changes.groupBy("part").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
         if seen:
-            weights = averaged(changes, weights, seen)
-    return counts, classes, weights
+            model.weights = averaged(changes, model.weights, seen)
+    return counts, classes, model
 
 
 def scored(docs: DataFrame, most: int = SLICE, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts, classes, weights = fitted(docs.where(fold(F.col("doc_id")) != HELD_OUT), most, rounds)
+    counts, classes, model = fitted(docs.where(fold(F.col("doc_id")) != HELD_OUT), most, rounds)
     numbered = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-    parts = [slice_scores(numbered, known, classes, weights) for known in slices(counts, classes.distinct, most)]
+    parts = [slice_scores(numbered, known, classes, model) for known in slices(counts, classes.distinct, most)]
     got = parts[0]
     if len(parts) > 1:
         for p in parts[1:]:
