@@ -142,6 +142,11 @@ def test_language_model_slices_agree(docs):
         assert (many[d]["n_tokens"], many[d]["n_known"]) == (r["n_tokens"], r["n_known"])
 
 
+def test_language_model_slices_agree_on_scores(docs):
+    one, many = rows(language_model.scored(docs)), rows(language_model.scored(docs, most=20))
+    assert {d: r["score"] for d, r in many.items()} == pytest.approx({d: r["score"] for d, r in one.items()}, rel=1e-6)
+
+
 def test_language_model_learns_words_within_a_class(spark):
     """All words end alike and are about as frequent, so that classes tell them into four bands at most."""
     text = " ".join([f"w{k}xx" for k in range(64)] * 4)
