@@ -76,6 +76,19 @@ def test_private_data_learns_from_context(spark):
     assert got[91]["spans"] == got[91]["base"]
 
 
+def test_private_data_finds_unseen_forms_after_few_seeds(spark):
+    """Five distinct seeds a pattern: an e-mail without digits, addresses of other forms, the second of a list."""
+    seeds = [(k, f"please write to user{'abcdef'[k]}@host.org soon") for k in range(5)]
+    seeds += [(10 + k, f"its peer 10.0.0.{k} answers") for k in range(10)]
+    seeds += [(20 + k, f"copies: {x}@a.org {x}@b.org end") for k, x in enumerate("pqrstu")]
+    new = [(90, "please write to alice@intranet soon"), (91, "its peer fe80::1 answers"), (92, "its peer 10.0.0.x answers"), (93, "copies: v@a.org bob@intranet end")]
+    plain = [(95, "chapter 12 of 2004 and a @ sign"), (96, "its peer answers 17 times"), (97, "room 10.0.0.y or me@home")]
+    docs = spark.createDataFrame([*seeds, *new, *plain], "doc_id long, text string")
+    got, texts = rows(private_data.personal_data(docs)), dict([*new, *plain])
+    more = {d: [(private_data.KINDS[s["kind"]], t[s["start"] : s["end"]]) for s in got[d]["spans"] if s not in got[d]["base"]] for d, t in texts.items()}
+    assert more == {90: [("email", "alice@intranet")], 91: [("ip", "fe80::1")], 92: [("ip", "10.0.0.x")], 93: [("email", "bob@intranet")], 95: [], 96: [], 97: []}
+
+
 def test_jaccard_classes(docs, texts):
     got = {d: (r["n_shingles"], r["component_id"]) for d, r in rows(jaccard_join.link_classes(docs)).items()}
     assert got == brute.classes(texts)

@@ -6,6 +6,10 @@ identifier kind among what they introduce; instance scores are the best evidence
 over edges that are counted first, so that copies and very common patterns are single rows. Instances that no base pattern
 found and that high-confidence patterns introduce become further spans of that kind.
 
+The words before are those of the whole text, of at most ``BEFORE`` code points; in them, words with @ stand as @ and runs of
+digits as 0, so that the members of a list have patterns too. A pattern's share counts values that are neither seeds nor scored
+yet in full, except that one with the form of the kind counts ``OPEN`` only: five distinct seeds outweigh one such value.
+
 Regular expressions are written without ambiguous repetition, so that very long runs of letters or digits take linear
 time; ``\\G`` lets a match begin where the one before ended.
 
@@ -31,9 +35,11 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 CANDIDATE = r"(?:(?<![^ \t-\r])|\G)[^ \t-\r]*?[0-9@][^ \t-\r]*+"
 WORD_BEFORE = r"([^ \t-\r]+)[ \t-\r]+$"
 TWO_BEFORE = r"([^ \t-\r]+[ \t-\r]+[^ \t-\r]+)[ \t-\r]+$"
-#: Rounds of the graph, least score of a pattern and an instance, least number of seed documents behind a pattern,
-#: smoothing, and least digits of a new instance.
-ROUNDS, CONFIDENT, SUPPORT, SMOOTH, LEAST_DIGITS = 3, 0.9, 5, 2.0, 4
+#: Rounds of the graph, least score of a pattern and an instance, least number of distinct seeds behind a pattern,
+#: smoothing, the weight of an open value with the form of the kind, and code points of text that hold the words before.
+ROUNDS, CONFIDENT, SUPPORT, SMOOTH, OPEN, BEFORE = 3, 0.9, 5, 0.5, 0.05, 256
+#: By kind: least digits of a new instance, and of one with the form of the kind.
+LEAST_DIGITS, FORM_DIGITS = (0, 1, 4, 3), (0, 1, 12, 7)
 
 
 def found(text: Column, pattern: str) -> Column:
@@ -113,18 +119,33 @@ def candidates(text: Column, spans: Column) -> Column:
     the value, else null; one, two: the words before. Tokens inside a base span are left out."""
     core = r"^[^A-Za-z0-9+(]+|[^A-Za-z0-9)]+$"
 
-    def described(m: Column) -> Column:
+    def left(hits: Column, i: Column) -> Column:
+        """The end of the text before candidate i: tokens without a digit or @ lie in the gaps between candidates."""
+        parts = [F.get(hits, i - 2)["text"], F.get(hits, i - 1)["before"], F.get(hits, i - 1)["text"], F.get(hits, i)["before"]]
+        end = F.lower(F.right(F.concat(*(F.right(F.coalesce(x, F.lit("")), F.lit(BEFORE)) for x in parts)), F.lit(BEFORE)))
+        return F.regexp_replace(F.regexp_replace(end, r"[^ \t-\r@]*+@[^ \t-\r]*+", "@"), "[0-9]+", "0")
+
+    def described(m: Column, before: Column) -> Column:
         over = F.get(F.filter(spans, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])), F.lit(0))
         return let(over, lambda o: F.struct(
             m["start"].alias("start"), m["end"].alias("end"),
             F.lower(F.when(o.isNull(), F.regexp_replace(m["text"], core, "")).otherwise(F.substring(text, o["start"] + 1, o["end"] - o["start"]))).alias("value"),
             o["kind"].alias("kind"),
-            F.lower(F.regexp_extract(m["before"], WORD_BEFORE, 1)).alias("one"),
-            F.lower(F.regexp_extract(m["before"], TWO_BEFORE, 1)).alias("two"),
+            F.regexp_extract(before, WORD_BEFORE, 1).alias("one"),
+            F.regexp_extract(before, TWO_BEFORE, 1).alias("two"),
             (o.isNotNull() & (o["start"] < m["start"])).alias("inside"),
         ))
 
-    return F.when(text.rlike("[0-9@]"), F.filter(F.transform(found(text, CANDIDATE), described), lambda c: ~c["inside"]))
+    def all_of(hits: Column) -> Column:
+        return F.transform(hits, lambda m, i: let(left(hits, i), lambda before: described(m, before)))
+
+    return F.when(text.rlike("[0-9@]"), F.filter(let(found(text, CANDIDATE), all_of), lambda c: ~c["inside"]))
+
+
+def admitted(value: Column, least: tuple[int, ...]) -> list[Column]:
+    """For each kind, whether a value may be a new instance: an e-mail has an @, an address two separators, others digits."""
+    signs = (F.contains(value, F.lit("@")), value.rlike("[.:][^.:]*[.:]"), F.lit(True), F.lit(True))
+    return [sign & (F.char_length(digits(value)) >= n) for sign, n in zip(signs, least, strict=True)]
 
 
 def extracted(docs: DataFrame) -> DataFrame:
@@ -147,21 +168,22 @@ def discovered(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
     seeds = edges.where("kind IS NOT NULL").groupBy("value", "kind").agg(F.lit(1.0).alias("score"))
     scores = seeds
-    strong = None
+    strong, fits = None, F.get(F.array(*admitted(F.col("value"), LEAST_DIGITS)), F.col("kind"))
     for _ in range(rounds):
         known = edges.join(scores.withColumnRenamed("kind", "as"), "value")
         weight = known.groupBy("pattern", F.col("as").alias("kind")).agg(
             F.sum(F.col("n") * F.col("score")).alias("w"), F.count_distinct(F.when(F.col("kind").isNotNull(), F.col("value"))).alias("support")
         )
-        total = edges.groupBy("pattern").agg(F.sum("n").alias("n"))
-        strong = weight.join(total, "pattern").where((F.col("support") >= SUPPORT) & (F.col("w") / (F.col("n") + SMOOTH) >= CONFIDENT)).select(
-            "pattern", "kind", (F.col("w") / (F.col("n") + SMOOTH)).alias("trust")
-        )
+        told = edges.join(scores.select("value", F.lit(True).alias("told")).distinct(), "value", "left")
+        counted = [F.sum(F.when(F.col("told").isNull() & form, F.col("n") * OPEN).otherwise(F.col("n"))) for form in admitted(F.col("value"), FORM_DIGITS)]
+        total = told.groupBy("pattern").agg(F.array(*counted).alias("n"))
+        trust = F.col("w") / (F.get("n", F.col("kind")) + SMOOTH)
+        strong = weight.where(F.col("support") >= SUPPORT).join(total, "pattern").select("pattern", "kind", trust.alias("trust")).where(F.col("trust") >= CONFIDENT)
         strong = Scratch.write(strong, "patterns")
-        new = edges.where("kind IS NULL").drop("kind").join(strong, "pattern").groupBy("value", "kind").agg(F.max("trust").alias("score"))
+        new = edges.where("kind IS NULL").drop("kind").join(strong, "pattern").where(fits).groupBy("value", "kind").agg(F.max("trust").alias("score"))
         scores = Scratch.write(seeds.union(new.join(seeds, ["value", "kind"], "left_anti").select("value", "kind", "score")), "instances")
-    open_ones = each.where("kind IS NULL").where(F.char_length(digits(F.col("value"))) >= LEAST_DIGITS)
-    met = open_ones.select("row", "start", "end", F.explode(patterns).alias("pattern")).join(strong, "pattern")
+    open_ones = each.where("kind IS NULL")
+    met = open_ones.select("row", "start", "end", "value", F.explode(patterns).alias("pattern")).join(strong, "pattern").where(fits)
     return met.groupBy("row", "start", "end").agg(F.min_by("kind", F.struct(-F.col("trust"), F.col("kind"))).alias("kind"))
 
 
