@@ -159,6 +159,18 @@ def test_secret_scan_with_given_findings(spark):
     assert not any(r["secret"] for r in got if r["doc_id"] < 60)
 
 
+def test_secret_scan_of_short_values_and_other_letters(spark):
+    """Whole assigned values from six letters, and passwords in addresses, of any letters."""
+    more = [
+        (400, 'password = "S3cr3t!Pass9" here', "S3cr3t!Pass9"), (401, "go postgres://user:p4ss:w0rd$1@db.local/x", "p4ss:w0rd$1"),
+        (402, "é pwd=h7nt3r.9 # x", "h7nt3r.9"), (403, "'passwd': 'a1 b2#c3d4'", "a1 b2#c3d4"), (404, 'PASSWORD: "k9"', None), (405, "http://a.example:808080/x@y", None),
+    ]
+    docs = spark.createDataFrame([*secret_docs(), *((d, t) for d, t, _ in more)], "doc_id long, text string")
+    got = [r for r in secrets.scan(docs).collect() if r["doc_id"] >= 400]
+    assert {(r["doc_id"], r["value"]) for r in got if r["secret"]} == {(d, v) for d, _, v in more if v}
+    assert all(dict((d, t) for d, t, _ in more)[r["doc_id"]][r["start"] : r["end"]] == r["value"] for r in got)
+
+
 def test_secret_scan_of_nothing(empty, clashing):
     assert secrets.scan(empty).count() == 0
     assert secrets.scan(clashing).count() >= 0

@@ -1,6 +1,8 @@
 """Secret scans with a random forest that removes false positives (operator 1, DataFrame functions only).
 
-Candidates are long runs of the letters that keys are written in. Each has numbers on its length, its character
+Candidates are long runs of the letters that keys are written in, and, whatever their letters, whole values of at least six that
+are assigned to a name for keys (up to the closing quote, or without quotes up to white space, a quote, comma, semicolon or
+bracket) or stand as the password in an address with user:password. A run inside such a value is a candidate too. Each has numbers on its length, its character
 transitions, its dictionary coverage, the path it stands in (an address or file name around it) and the words beside it. A
 random forest, trained on labelled findings, gives each candidate a score; those under ``THRESHOLD`` are false positives.
 
@@ -23,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import Scratch
+from voxloom.llm.common import Scratch, let
 from voxloom.llm.private_data import found
 from voxloom.session import read_table
 
@@ -31,25 +33,59 @@ CANDIDATE = r"(?:(?<![A-Za-z0-9+/_=-])|\G)[A-Za-z0-9+/_-]{16,}+={0,2}+"
 MAX_LABELLED, TREES, DEPTH, THRESHOLD, FREQUENT_TRIPLES = 10_000, 20, 6, 0.5, 4000
 #: Fixed: names that keys are assigned to.
 NAMES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "key", "access_key", "auth", "bearer", "credential")
+#: What stands before an assigned value, with its opening quote, and before the password of an address; whole matches of both.
+ASSIGNS = "(?i:" + "|".join(NAMES) + r")[\"'`]?[ \t]*+[=:]{1,2}[ \t]*+"
+LOGIN = r"://[^ \t-\r/:@\"'`<>]*+:"
+ASSIGNED = ASSIGNS + r"(?:\"[^\"\r\n]{6,}+\"|'[^'\r\n]{6,}+'|`[^`\r\n]{6,}+`|[^ \t-\r\"'`,;<>(){}\[\]]{6,}+)"
+ADDRESS = LOGIN + r"[^ \t-\r/@\"'`<>]{6,}+@"
 FEATURES = (
     "length", "digit_share", "upper_share", "symbol_share", "transitions", "distinct_share", "covered", "in_path", "in_mail",
     "named", "assigned", "quoted", "one_case_hex",
 )
 
 
+SPAN = "array<struct<start:int,end:int,value:string,before:string,after:string,login:boolean>>"
+
+
+def values(text: Column, pattern: str, lead: str, login: bool) -> Column:
+    """The values in the matches of ``pattern``: what follows ``lead``, without a closing quote or @; array as in ``SPAN``."""
+
+    def placed(m: Column) -> Column:
+        value = F.regexp_replace(F.regexp_replace(m["text"], f"^(?:{lead})[\"'`]?", ""), "[\"'`]$" if not login else "@$", "")
+        head = F.regexp_extract(m["text"], f"^(?:{lead})[\"'`]?", 0)
+        start = m["start"] + F.char_length(head)
+        return let(F.struct(start.alias("start"), (start + F.char_length(value)).alias("end"), value.alias("value"), head.alias("head")), lambda v: F.struct(
+            v["start"].alias("start"), v["end"].alias("end"), v["value"].alias("value"),
+            F.lower(F.right(F.concat(m["before"], v["head"]), F.lit(24))).alias("before"),
+            F.substring(text, v["end"] + 1, F.lit(24)).alias("after"), F.lit(login).alias("login"),
+        ))
+
+    return F.when(text.rlike(pattern), F.transform(found(text, pattern), placed)).otherwise(F.array().cast(SPAN))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, start, end, value, before, after) of every candidate; before and after: up to 24 code points beside it."""
+    """(doc_id, row, start, end, value, before, after, login) of every candidate; before and after: up to 24 code points beside it;
+    login: whether it is the password of an address."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text.alias("text"))
-    hits = F.transform(
+    runs = F.transform(
         found(F.col("text"), CANDIDATE),
         lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"), m["text"].alias("value"),
             F.lower(F.right(m["before"], F.lit(24))).alias("before"),
-            F.substring(F.col("text"), m["end"] + 1, F.lit(24)).alias("after"),
+            F.substring(F.col("text"), m["end"] + 1, F.lit(24)).alias("after"), F.lit(False).alias("login"),
         ),
     )
-    return rows.where(F.col("text").rlike("[A-Za-z0-9+/_-]{16}")).select("doc_id", "row", F.explode(hits).alias("m")).select("doc_id", "row", "m.*")
+    runs = F.when(F.col("text").rlike("[A-Za-z0-9+/_-]{16}"), runs).otherwise(F.array().cast(SPAN))
+
+    def others(taken: Column, more: Column) -> Column:
+        return F.filter(more, lambda v: ~F.exists(taken, lambda t: (t["start"] == v["start"]) & (t["end"] == v["end"])))
+
+    text = F.col("text")
+    hits = let(values(text, ADDRESS, LOGIN, True), lambda logins: let(
+        F.concat(logins, others(logins, values(text, ASSIGNED, ASSIGNS, False))), lambda told: F.concat(told, others(told, runs))
+    ))
+    return rows.select("doc_id", "row", F.explode(hits).alias("m")).select("doc_id", "row", "m.*")
 
 
 def frequent_triples(docs: DataFrame) -> DataFrame:
@@ -62,7 +98,7 @@ def frequent_triples(docs: DataFrame) -> DataFrame:
 
 def classes(value: Column) -> Column:
     """The value with each character replaced by its class: d, l, u or s."""
-    out = F.regexp_replace(value, "[+/_=-]", "!")
+    out = F.regexp_replace(value, "[^A-Za-z0-9]", "!")
     return F.translate(
         out, "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ!", "d" * 10 + "l" * 26 + "u" * 26 + "s"
     )
@@ -87,9 +123,9 @@ def described(found_ones: DataFrame, triples: DataFrame) -> DataFrame:
         "transitions": F.size(changes) / length,
         "distinct_share": F.size(F.array_distinct(F.split("value", ""))) / length,
         "covered": F.size(hit) / F.size(places),
-        "in_path": flag(F.contains("value", F.lit("/")) | F.col("before").rlike(r"[/\\.]$|https?:[^ ]*$") | F.col("after").rlike(r"^[/\\]|^\.[a-z]")),
-        "in_mail": flag(F.startswith("after", F.lit("@")) | F.endswith("before", F.lit("@"))),
-        "named": flag(named),
+        "in_path": flag(~F.col("login") & (F.contains("value", F.lit("/")) | F.col("before").rlike(r"[/\\.]$|https?:[^ ]*$") | F.col("after").rlike(r"^[/\\]|^\.[a-z]"))),
+        "in_mail": flag(~F.col("login") & (F.startswith("after", F.lit("@")) | F.endswith("before", F.lit("@")))),
+        "named": flag(named | F.col("login")),
         "assigned": flag(F.col("before").rlike(r"[=:][ \t]*[\"'`]?$")),
         "quoted": flag(F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")),
         "one_case_hex": flag(F.col("value").rlike("^(?:[0-9a-f]++|[0-9A-F]++)$")),
@@ -101,7 +137,8 @@ def rule_label() -> Column:
     mixed = (F.col("digit_share") > 0.1) & (F.col("digit_share") < 0.95) & (F.col("covered") < 0.5)
     sure = (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("quoted") == 1) & mixed
     never = (F.col("in_path") == 1) | (F.col("in_mail") == 1) | (F.col("digit_share") == 0) | (F.col("digit_share") > 0.97) | (F.col("covered") > 0.7)
-    return F.when(sure, F.lit(1.0)).when(never & (F.col("named") == 0), F.lit(0.0))
+    plain = (F.col("quoted") == 0) & (F.col("digit_share") == 0) & (F.col("symbol_share") == 0) & (F.col("covered") > 0.9)
+    return F.when(sure, F.lit(1.0)).when((never & (F.col("named") == 0)) | plain, F.lit(0.0))
 
 
 def labelled(rows: DataFrame, findings: DataFrame | None) -> DataFrame:
