@@ -3,6 +3,7 @@
 import hashlib
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,24 +96,45 @@ def test_jaccard_classes(docs, texts):
     assert got[25][1] == 10
 
 
-def test_jaccard_near_copies_of_all_distances(spark, monkeypatch):
-    """Many edited copies of one text, so that pivots, differing shingles and sizes all decide some pairs."""
+@pytest.mark.parametrize("frequent", [20, 1_000_000])
+def test_jaccard_near_copies_of_all_distances(spark, monkeypatch, frequent):
+    """Many edited copies of two texts, some far from all others, so that pivots, hubs, differing shingles, lists of frequent and rare
+    shingles and sizes all decide some pairs."""
     import random
 
     rng = random.Random(3)
-    base = [f"w{rng.randint(0, 400)}" for _ in range(90)]
+    bases = [[f"w{rng.randint(0, 400)}" for _ in range(90)] for _ in range(2)]
     texts = {}
-    for k in range(150):
-        w = base[:]
-        for _ in range(rng.randint(0, 5)):
+    for k in range(180):
+        w = bases[k % 3 == 0][:]
+        for _ in range(rng.randint(0, 7 if k % 3 else 4)):
             w[rng.randrange(len(w))] = f"e{rng.randint(0, 30)}"
         texts[k] = " ".join(w[: rng.choice([90, 90, 80, 70])])
-    monkeypatch.setattr(jaccard_join, "FREQUENT", 20)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
     table = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
-    for labels in (jaccard_join.MOST_LABELS, 0):
-        monkeypatch.setattr(jaccard_join, "MOST_LABELS", labels)
-        got = {d: (r["n_shingles"], r["component_id"]) for d, r in rows(jaccard_join.link_classes(table)).items()}
-        assert got == brute.classes(texts)
+    got = {d: (r["n_shingles"], r["component_id"]) for d, r in rows(jaccard_join.link_classes(table)).items()}
+    assert got == brute.classes(texts)
+    assert 3 < len({c for _, c in got.values()}) < 150
+
+
+def test_pairs_of_lists_are_those_that_differ_in_component_and_pivot():
+    import itertools
+
+    rng = np.random.default_rng(5)
+    token = np.sort(rng.integers(0, 6, 200))
+    sid = np.concatenate([rng.choice(500, k, replace=False) for k in np.bincount(token)])
+    n, comp, pivot = (rng.integers(10, 18, 500), rng.integers(0, 3, 500) ** 2, rng.integers(0, 4, 500) // 2)
+    want = {}
+    for t in range(6):
+        for x, y in itertools.combinations(sorted(sid[token == t].tolist()), 2):
+            if comp[x] != comp[y] and pivot[x] != pivot[y] and 4 * min(n[x], n[y]) >= 3 * max(n[x], n[y]):
+                want[x, y] = want.get((x, y), 0) + 1
+    got = {}
+    for x, xn, y, yn, c in jaccard_join.list_pairs(token, sid, n[sid], comp[sid], pivot[sid]):
+        assert (n[x] == xn).all() and (n[y] == yn).all()
+        for pair, k in zip(zip(x.tolist(), y.tolist(), strict=True), c.tolist(), strict=True):
+            got[pair] = got.get(pair, 0) + k
+    assert got == want and len(want) > 100
 
 
 def test_quality_statistics(docs, texts, spark):

@@ -14,11 +14,17 @@ How it stays whole and bounded:
 * Sets of a list are first compared with one pivot a block, the smallest set id. A set that links with its pivot takes over
   the pivot's computed answer, its component. Every set close to its pivot is attached to it with the measured overlap and the few
   shingles in which it differs from the pivot.
+* The smallest set id may be an outlier among near copies. Where sets of a pivot are outside its component, the most central of
+  its sets, its hub, takes the pivot's place and is compared with each of them. Hubs, and sets without a pivot, are compared with
+  the largest hub of each list they are in and move to it with all their sets where they overlap by half. That costs two
+  comparisons a set and joins the copies that the first pivot kept apart.
 * Two sets attached to one pivot are never enumerated as such: their overlap is at most the smaller overlap with the pivot plus
   the differing shingles both have, so an inverted index over differing shingles, and a comparison of sizes for pairs that have
   none in common, leave the few pairs whose answer the pivot's does not settle.
-* All other pairs of a list that lie in two components and pass the overlap bound of the whole prefix are verified
-  on full sets, as are those left by the step before, so no link between different components is lost.
+* Of a list's other pairs only those can bring news that lie in two components and have two pivots, so one of both is
+  outside the component (or pivot) that most of the list's sets have: each such set meets the list's sets of a fitting size.
+  Pairs that pass the overlap bound of the whole prefix are verified on full sets, as are those left by the step before, so no
+  link between different components is lost.
 
 Defined cases: a null, empty or blank text has an empty set and links with nothing; a text of fewer than five words is
 one shingle; rows that repeat a doc_id give a row each, with the class of their own text; an empty table
@@ -250,15 +256,26 @@ def counted(met: DataFrame) -> DataFrame:
     return sums.select("x", "xn", "y", "yn", "c")
 
 
-def pivot_pairs(postings: DataFrame) -> DataFrame:
-    """(x, xn, y, yn, c): sets of a common list's block with the pivots of their own and the next block."""
+def pivot_pairs(postings: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
+    """(x, xn, y, yn, c): sets of a common list's block with the pivots of their own and the next block, or with the largest of the
+    ``hubs`` (sid, m) in the list's own block and both beside it; m: minus the number of a hub's sets."""
     blocked = postings.withColumn("block", size_block(F.col("n")))
-    first = blocked.groupBy("token", "block").agg(F.min(F.struct("sid", "n")).alias("p"))
-    near = first.select("token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"), F.col("p.sid").alias("y"), F.col("p.n").alias("yn"))
+    if hubs is None:
+        first, beside = blocked.groupBy("token", "block").agg(F.min(F.struct("sid", "n")).alias("p")), (0, -1)
+    else:
+        first, beside = blocked.join(hubs, "sid").groupBy("token", "block").agg(F.min(F.struct("m", "sid", "n")).alias("p")), (0, -1, 1)
+    near = first.select("token", F.explode(F.array(*(F.col("block") + k for k in beside))).alias("block"), F.col("p.sid").alias("y"), F.col("p.n").alias("yn"))
     met = blocked.join(near, ["token", "block"]).where("sid <> y AND 4L * least(n, yn) >= 3L * greatest(n, yn)")
     return counted(met.select(F.col("sid").alias("x"), F.col("n").alias("xn"), "y", "yn", F.lit(1).cast("long").alias("c")))
 
 
+def leads(named: DataFrame, what: str) -> DataFrame:
+    """(token, the value of ``what`` that most of the list's sets have, how many have it)."""
+    each = named.groupBy("token", what).agg(F.count("*").alias("k"))
+    most = each.groupBy("token").agg(F.max(F.struct("k", what)).alias("m"))
+    return most.select("token", F.col(f"m.{what}").alias(f"lead_{what}"), F.col("m.k").alias(f"k_{what}"))
+
+
 def cross_pairs(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """(x, y): pairs of a common list that lie in different components, have different pivots and may link by position.
 
@@ -266,64 +283,107 @@ def cross_pairs(postings: DataFrame, labels: DataFrame) -> DataFrame:
     places are skipped for this pair, whatever they hold."""
     named = postings.join(labels, "sid", "left").select("token", "sid", "n", "pos", F.coalesce("comp", "sid").alias("comp"), F.coalesce("pivot", "sid").alias("pivot"))
     named = Scratch.write(named.withColumn("block", size_block(F.col("n"))), "named")
-    left = named.select(
-        "token", "block", F.col("sid").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xpos"), F.col("comp").alias("xcomp"), F.col("pivot").alias("xpivot")
+    # one row for each of at most MOST_FREQUENT lists
+    told = F.broadcast(leads(named, "comp").join(leads(named, "pivot"), "token"))
+    minor = F.when(F.col("k_pivot") >= F.col("k_comp"), F.col("pivot") != F.col("lead_pivot")).otherwise(F.col("comp") != F.col("lead_comp"))
+    named = named.join(told, "token").withColumn("minor", minor).drop("lead_comp", "lead_pivot", "k_comp", "k_pivot")
+    left = named.where("minor").select(
+        "token", F.explode(F.array(*(F.col("block") + k for k in (-1, 0, 1)))).alias("block"), F.col("sid").alias("x"), F.col("n").alias("xn"),
+        F.col("pos").alias("xpos"), F.col("comp").alias("xcomp"), F.col("pivot").alias("xpivot"),
     )
     right = named.select(
-        "token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"), F.col("sid").alias("y"), F.col("n").alias("yn"),
-        F.col("pos").alias("ypos"), F.col("comp").alias("ycomp"), F.col("pivot").alias("ypivot"), F.col("block").alias("own"),
+        "token", "block", F.col("sid").alias("y"), F.col("n").alias("yn"), F.col("pos").alias("ypos"), F.col("comp").alias("ycomp"),
+        F.col("pivot").alias("ypivot"), F.col("minor").alias("yminor"),
     )
-    fits = F.expr("xcomp <> ycomp AND xpivot <> ypivot AND (own <> block OR x < y) AND 4L * least(xn, yn) >= 3L * greatest(xn, yn)")
+    fits = F.expr("xcomp <> ycomp AND xpivot <> ypivot AND (NOT yminor OR x < y) AND 4L * least(xn, yn) >= 3L * greatest(xn, yn)")
     needed = least_overlap(F.col("xn"), F.col("yn"))
     early = (F.col("xpos") <= F.col("xn") - needed) & (F.col("ypos") <= F.col("yn") - needed)
     return left.join(right, ["token", "block"]).where(fits & early).select("x", "y").distinct()
 
 
-#: Up to so many labelled sets are sent to the tasks that pair rare lists. Beyond, those lists, which are short, are paired
-#: without labels: more candidates, the same links.
-MOST_LABELS = 1_500_000
+def minority(of: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each entry's label is not the one that most entries of its list have, how many have that one, by list)."""
+    at = np.lexsort((label, of))
+    lists, labels = of[at], label[at]
+    start = np.flatnonzero(np.append(True, (lists[1:] != lists[:-1]) | (labels[1:] != labels[:-1])))
+    length, run = np.diff(start, append=len(at)), lists[start]
+    most = np.zeros(of[-1] + 1, np.int64)
+    np.maximum.at(most, run, length)
+    best = np.flatnonzero(length == most[run])
+    _, first = np.unique(run[best], return_index=True)
+    return label != labels[start[best[first]]][of], most
+
+
+#: Pairs that a task forms at once.
+PAIRS_AT_ONCE = 2_000_000
+
+
+def list_pairs(token: np.ndarray, sid: np.ndarray, n: np.ndarray, comp: np.ndarray, pivot: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(x, xn, y, yn, c) for the pairs of whole lists that differ in component and pivot and may link by size."""
+    at = np.lexsort((sid, n, token))
+    token, sid, n, comp, pivot = (c[at] for c in (token, sid, n, comp, pivot))
+    of = np.cumsum(np.append(True, token[1:] != token[:-1])) - 1
+    (by_comp, most_comp), (by_pivot, most_pivot) = minority(of, comp), minority(of, pivot)
+    minor = np.where((most_pivot >= most_comp)[of], by_pivot, by_comp)
+    some = np.flatnonzero(minor)
+    place = (of << 32) | n
+    low = np.searchsorted(place, (of[some] << 32) | ((3 * n[some] + 3) // 4))
+    todo = np.searchsorted(place, (of[some] << 32) | (4 * n[some] // 3), side="right") - low
+    part = np.cumsum(todo) // PAIRS_AT_ONCE
+    for k in np.unique(part):
+        a, b = np.searchsorted(part, k), np.searchsorted(part, k, side="right")
+        x = np.repeat(some[a:b], todo[a:b])
+        y = np.arange(len(x)) - np.repeat(np.cumsum(todo[a:b]) - todo[a:b], todo[a:b]) + np.repeat(low[a:b], todo[a:b])
+        fits = (comp[x] != comp[y]) & (pivot[x] != pivot[y]) & (~minor[y] | (x < y))
+        x, y = x[fits], y[fits]
+        swap = sid[x] > sid[y]
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        order = np.lexsort((sid[y], sid[x]))
+        x, y = x[order], y[order]
+        if len(x):
+            new = np.append(True, (sid[x[1:]] != sid[x[:-1]]) | (sid[y[1:]] != sid[y[:-1]]))
+            count = np.diff(np.append(np.flatnonzero(new), len(x)))
+            x, y = x[new], y[new]
+            yield sid[x], n[x].astype(np.int32), sid[y], n[y].astype(np.int32), count
+
+
+PAIR_COUNTS = "x long, xn int, y long, yn int, c long"
 
 
 def rare_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """(x, xn, y, yn, c), counted by task, for the pairs of rare lists that lie in different components and have different pivots."""
-    few = labels.count() <= MOST_LABELS
-    got = labels.toArrow() if few else labels.limit(0).toArrow()
-    sid = got["sid"].to_numpy()
-    at = np.argsort(sid)
-    held = lists.sparkSession.sparkContext.broadcast((sid[at], got["comp"].to_numpy()[at], got["pivot"].to_numpy()[at]))
+    """(x, xn, y, yn, c) for the pairs of rare lists; of lists of three sets and more only for pairs with different components and
+    pivots. Labels come by shuffle at every size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, comp, pivot = held.value
+        def told(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for got in list_pairs(*rows):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in got], ["x", "xn", "y", "yn", "c"])
+
+        kept = [np.empty(0, np.int64)] * 5
         for batch in batches:
-            edges = batch.column(0).offsets.to_numpy().astype(np.int64)
-            ids, n = batch.column(0).values.to_numpy(), batch.column(1).values.to_numpy().astype(np.int64)
-            c, p = ids.copy(), ids.copy()
-            if len(known):
-                k = np.minimum(np.searchsorted(known, ids), len(known) - 1)
-                hit = known[k] == ids
-                c[hit], p[hit] = comp[k[hit]], pivot[k[hit]]
-            end = np.repeat(edges[1:], np.diff(edges)) if len(edges) > 1 else edges[:0]
-            place = np.arange(edges[0], edges[-1])
-            todo = end - place - 1
-            cuts = np.searchsorted(np.cumsum(todo), np.arange(0, todo.sum() + 1, 2_000_000), side="right") if len(todo) else []
-            for a, b in zip(cuts, [*cuts[1:], len(todo)], strict=True) if len(todo) else ():
-                x = np.repeat(place[a:b], todo[a:b])
-                y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(todo[a:b]) - todo[a:b], todo[a:b])
-                fits = (c[x] != c[y]) & (p[x] != p[y]) & (4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y]))
-                x, y = x[fits], y[fits]
-                swap = ids[x] > ids[y]
-                x, y = np.where(swap, y, x), np.where(swap, x, y)
-                order = np.lexsort((ids[y], ids[x]))
-                x, y = x[order], y[order]
-                if not len(x):
-                    continue
-                new = np.append(True, (ids[x[1:]] != ids[x[:-1]]) | (ids[y[1:]] != ids[y[:-1]]))
-                count = np.diff(np.append(np.flatnonzero(new), len(x)))
-                x, y = x[new], y[new]
-                columns = [pa.array(ids[x]), pa.array(n[x].astype(np.int32)), pa.array(ids[y]), pa.array(n[y].astype(np.int32)), pa.array(count)]
-                yield pa.RecordBatch.from_arrays(columns, ["x", "xn", "y", "yn", "c"])
-
-    return counted(lists.select("sids", "ns").mapInArrow(run, "x long, xn int, y long, yn int, c long"))
+            rows = [np.concatenate([k, c.to_numpy(zero_copy_only=False).astype(np.int64)]) for k, c in zip(kept, batch.columns, strict=True)]
+            # the last list may go on in the next batch
+            end = np.searchsorted(rows[0], rows[0][-1]) if len(rows[0]) else 0
+            kept = [c[end:] for c in rows]
+            if end:
+                yield from told([c[:end] for c in rows])
+        if len(kept[0]):
+            yield from told(kept)
+
+    two = lists.where("size(sids) = 2").selectExpr("sids[0] AS x", "ns[0] AS xn", "sids[1] AS y", "ns[1] AS yn", "1L AS c")
+    two = two.where("4L * least(xn, yn) >= 3L * greatest(xn, yn)")
+    each = lists.where("size(sids) > 2").select("token", F.explode(F.arrays_zip("sids", "ns")).alias("e"))
+    named = each.select("token", F.col("e.sids").alias("sid"), F.col("e.ns").alias("n")).join(labels, "sid", "left")
+    named = named.select("token", "sid", "n", F.coalesce("comp", "sid").alias("comp"), F.coalesce("pivot", "sid").alias("pivot"))
+    more = named.repartition("token").sortWithinPartitions("token").mapInArrow(run, PAIR_COUNTS)
+    return counted(two.union(more))
+
+
+def unlabelled_alike(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``pairs`` (x, y) but those with one component or one pivot."""
+    for side in "xy":
+        pairs = pairs.join(labels.select(F.col("sid").alias(side), F.col("comp").alias(f"{side}comp"), F.col("pivot").alias(f"{side}pivot")), side, "left")
+    return pairs.where("coalesce(xcomp, x) <> coalesce(ycomp, y) AND coalesce(xpivot, x) <> coalesce(ypivot, y)").select("x", "y")
 
 
 #: Up to so many wanted sets, of two numbers and two flags, are sent to every task; more are joined by shuffle.
@@ -363,9 +423,9 @@ def bitmap(tokens: np.ndarray) -> list[int]:
     return np.packbits(np.bincount((tokens & np.uint64(255)).astype(np.int64), minlength=256).astype(bool)).view(np.int64).tolist()
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``CHECKED`` for pairs (x, y): both is the overlap; where y may be x's pivot, rest: the shingles of x that y lacks, and a
-    bitmap of those of y that x lacks."""
+def verified(pairs: DataFrame, one: DataFrame, two: DataFrame, hubs: bool = False) -> DataFrame:
+    """``CHECKED`` for pairs (x, y) of sets in ``one`` and ``two``: both is the overlap; where y may be x's pivot (or is a hub), rest:
+    the shingles of x that y lacks, and a bitmap of those of y that x lacks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -375,28 +435,78 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(b, a), len(b) - 1)
                 same = b[at] == a
                 both = int(same.sum())
-                close = y < x and both >= ATTACHED * max(len(a), len(b))
+                close = hubs or (y < x and both >= ATTACHED * max(len(a), len(b)))
                 bits = bitmap(np.delete(b, at[same])) if close else [None] * 4
                 out.append((x, len(a), y, len(b), both, 7 * both >= 3 * (len(a) + len(b)), a[~same].tobytes() if close else None, *bits))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), *[pa.int64()] * 4)
             columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["x", "xn", "y", "yn", "both", "linked", "rest", *BITS])
 
-    one = sets.where("as_x").select(F.col("sid").alias("x"), F.col("tokens").alias("xs"))
-    two = sets.where("as_y").select(F.col("sid").alias("y"), F.col("tokens").alias("ys"))
+    one = one.select(F.col("sid").alias("x"), F.col("tokens").alias("xs"))
+    two = two.select(F.col("sid").alias("y"), F.col("tokens").alias("ys"))
     joined = pairs.select("x", "y").join(one, "x").join(two, "y").select("x", "y", "xs", "ys")
     return joined.mapInArrow(run, CHECKED)
 
 
-def members(near: DataFrame, roots: DataFrame) -> DataFrame:
-    """(x, n, p, pn, both, rest, b0 to b3, comp, out): every attached set with its pivot p; out: its component is not the pivot's."""
+def attachments(near: DataFrame) -> DataFrame:
+    """(x, n, p, pn, both, rest, b0 to b3): every set that is close to a pivot, with the smallest such pivot p."""
     close = near.where("rest IS NOT NULL")
     first = close.groupBy("x").agg(F.min("y").alias("y"))
-    own = close.join(first, ["x", "y"]).dropDuplicates(["x"])
-    a, b = roots.select(F.col("node").alias("x"), F.col("root").alias("xr")), roots.select(F.col("node").alias("y"), F.col("root").alias("yr"))
-    named = own.join(a, "x", "left").join(b, "y", "left")
-    comp, other = F.coalesce("xr", "x"), F.coalesce("yr", "y")
-    return named.select("x", F.col("xn").alias("n"), F.col("y").alias("p"), F.col("yn").alias("pn"), "both", "rest", *BITS, comp.alias("comp"), (comp != other).alias("out"))
+    return attached_to(close.join(first, ["x", "y"]).dropDuplicates(["x"]))
+
+
+def attached_to(near: DataFrame) -> DataFrame:
+    return near.select("x", F.col("xn").alias("n"), F.col("y").alias("p"), F.col("yn").alias("pn"), "both", "rest", *BITS)
+
+
+def members(own: DataFrame, roots: DataFrame) -> DataFrame:
+    """``own`` with comp and out: its component is not the pivot's."""
+    a, b = roots.select(F.col("node").alias("x"), F.col("root").alias("xr")), roots.select(F.col("node").alias("p"), F.col("root").alias("pr"))
+    comp, other = F.coalesce("xr", "x"), F.coalesce("pr", "p")
+    named = own.join(a, "x", "left").join(b, "p", "left")
+    return named.select("x", "n", "p", "pn", "both", "rest", *BITS, comp.alias("comp"), (comp != other).alias("out"))
+
+
+def central(of: DataFrame) -> DataFrame:
+    """(p, hub, m): for each pivot of several sets, some outside its component, the one of them that is nearest to the pivot widened
+    by the shingles that at least half of them have and it lacks; m: minus their number."""
+    sizes = of.groupBy("p").agg(F.count("*").alias("m"), F.max("out").alias("open")).where("open AND m > 1").drop("open")
+    some = of.join(sizes, "p")
+    shingles = Scratch.write(rest_shingles(some), "differing")
+    counts = shingles.groupBy("p", "token").agg(F.count("*").alias("k")).join(sizes, "p")
+    half = Scratch.write(counts.where("2 * k >= m").select("p", "token"), "half")
+    gained = shingles.join(half, ["p", "token"], "left_semi").groupBy("x").agg(F.count("*").alias("h"))
+    wide = half.groupBy("p").agg(F.count("*").alias("hn"))
+    both = F.col("both") + F.coalesce("h", F.lit(0))
+    near = both / (F.col("n") + F.col("pn") + F.coalesce("hn", F.lit(0)) - both)
+    scored = some.select("x", "n", "p", "pn", "both", "m").join(gained, "x", "left").join(wide, "p", "left").select("p", "x", "m", near.alias("near"))
+    return scored.groupBy("p").agg(F.max_by("x", F.struct("near", "x")).alias("hub"), (-F.first("m")).alias("m"))
+
+
+#: A hub moves to a larger one, with all its sets, if their overlap is at least this share of the larger set.
+MOVES = 0.5
+
+
+def recentred(own: DataFrame, of: DataFrame, common: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(x, y) of the sets whose pivot is now the hub y (its own if x is a hub), and ``CHECKED`` for the pairs compared for that.
+
+    ``own``: the sets' pivots, ``of``: the same as ``members``, ``full``: the sets of both."""
+    hubs = Scratch.write(central(of), "hubs")
+    named = hubs.select(F.col("hub").alias("sid"), "m")
+    loose = common.join(own.select(F.col("x").alias("sid")).join(named, "sid", "left_anti"), "sid", "left_anti")
+    meeting = pivot_pairs(loose, named).select("x", "y")
+    met = Scratch.write(verified(meeting, full, full, hubs=True), "met")
+    fitting = met.where(F.col("both") >= MOVES * F.greatest("xn", "yn")).join(named.withColumnRenamed("sid", "y"), "y")
+    larger = fitting.join(named.select(F.col("sid").alias("x"), F.col("m").alias("xm")), "x", "left").where("xm IS NULL OR struct(m, y) < struct(xm, x)")
+    goal = larger.groupBy("x").agg(F.min(F.struct("m", "y")).alias("g")).select("x", F.col("g.y").alias("y"))
+    # only hubs that stay take others in
+    goal = Scratch.write(goal.join(goal.select(F.col("x").alias("y")), "y", "left_anti").select("x", "y"), "goal")
+    sets = own.select("x", "p").join(hubs, "p").where("x <> hub").select("x", "hub")
+    last = sets.join(goal.select(F.col("x").alias("hub"), "y"), "hub", "left").select("x", F.coalesce("y", "hub").alias("y")).where("x <> y")
+    moves = last.join(goal.select("x"), "x", "left_anti").union(goal)
+    moves = Scratch.write(moves.union(hubs.select(F.col("hub").alias("x"), F.col("hub").alias("y")).join(goal.select("x"), "x", "left_anti")), "moves")
+    pairs = sets.select("x", F.col("hub").alias("y")).union(moves.where("x <> y")).distinct().join(met.select("x", "y"), ["x", "y"], "left_anti")
+    return moves, Scratch.write(verified(pairs, full, full, hubs=True), "by-hub").union(met)
 
 
 def rest_shingles(of: DataFrame) -> DataFrame:
@@ -483,11 +593,16 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     measured = possible(starred).select("x", "y").union(by_common.where("c > 1").select("x", "y")).distinct()
     pairs = Scratch.write(measured, "pairs")
     full, full_at = full_sets(docs, pairs, chosen)
-    near = Scratch.write(verified(pairs, full), "near")
+    near = Scratch.write(verified(pairs, full.where("as_x"), full.where("as_y")), "near")
+    roots = Scratch.write(components(near.where("linked").select("x", "y"), "x", "y"), "roots")
+
+    own = Scratch.write(attachments(near), "own")
+    moved, by_hub = recentred(own, members(own, roots), common, full)
     Scratch.drop(spark, full_at)
+    near = near.union(by_hub)
     roots = Scratch.write(components(near.where("linked").select("x", "y"), "x", "y"), "roots")
+    attached = Scratch.write(members(own.join(moved, "x", "left_anti").union(attached_to(by_hub.join(moved, ["x", "y"], "left_semi"))), roots), "members")
 
-    attached = Scratch.write(members(near, roots), "members")
     nodes = near.select(F.col("x").alias("sid")).union(near.select("y")).distinct()
     labels = nodes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").join(attached.select(F.col("x").alias("sid"), "p"), "sid", "left")
     labels = Scratch.write(labels.select("sid", F.coalesce("root", "sid").alias("comp"), F.coalesce("p", "sid").alias("pivot")), "labels")
@@ -497,13 +612,13 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     for side in "xy":
         across = across.join(held.select(F.col("sid").alias(side), F.col("k").alias(f"{side}k")), side, "left")
     more = F.least(F.coalesce("xk", F.lit(0)), F.coalesce("yk", F.lit(0)))
-    across = possible(across.select("x", "xn", "y", "yn", (F.col("c") + more).alias("c"))).select("x", "y")
+    across = unlabelled_alike(possible(across.select("x", "xn", "y", "yn", (F.col("c") + more).alias("c"))).select("x", "y"), labels)
     left = across.union(cross_pairs(common, labels)).union(unsettled_pairs(attached))
     left = left.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
-    done = near.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+    done = near.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
     pairs = Scratch.write(left.join(done, ["x", "y"], "left_anti"), "pairs")
     full, full_at = full_sets(docs, pairs, chosen)
-    rest = Scratch.write(verified(pairs, full), "rest")
+    rest = Scratch.write(verified(pairs, full.where("as_x"), full.where("as_y")), "rest")
     Scratch.drop(spark, full_at)
     links = near.where("linked").select("x", "y").union(rest.where("linked").select("x", "y"))
     roots = Scratch.write(components(links, "x", "y"), "roots")
