@@ -4,8 +4,10 @@
 of equal token mass) and a hash of its last two letters. The class factor is a softmax over weights of hashed features: the word
 before, the word before that (a skip feature) and both together. The word factor goes down a binary tree of nested classes, by the
 bits of the word's hash, to the word: each step is a softmax of two over weights of the same features with the node, on top of
-the step's share by counts. Leaves are at least twice as many as a class has words; words that still meet in one share it by
-count. Unknown words share the free place of the rarest band's class of their ending, which no feature moves.
+the step's share by counts. Features move the upper ``LEVELS`` levels, and more as the corpus grows; deeper nodes hold few rare words
+and keep their shares by count, which scores held-out text better than moving them too. Leaves are at least twice as many as a
+class has words; words that still meet in one share it by count. Unknown words share the free place of the rarest band's class of
+their ending, which no feature moves.
 
 Counts of all training words are grouped in Spark, keyed by 64-bit hashes of the words. The weights (tables that grow
 with the cube root of the training tokens) are trained by distributed gradient updates: in each round every task takes Adagrad steps from the common weights over its own training documents, and the
@@ -29,6 +31,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +48,8 @@ CLASSES = BANDS * ENDINGS
 PART, ROUNDS, RATE, STEP_TOKENS, TRAINER_TOKENS = 1 << 14, 2, 0.1, 8192, 4_000_000
 #: Tokens whose steps fit a processor's cache.
 AT_ONCE = 4096
+#: Levels of the tree that features move, before growth.
+LEVELS = 8
 #: Bytes of text that a task works on at once, about.
 TEXT = 3_000_000
 #: A word of its own that no text can hold, and what stands before a text.
@@ -56,11 +61,34 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def word_keys(words: list[str]) -> np.ndarray:
-    """A 64-bit key of each word; its lowest two bits are a hash of the word's last two letters."""
-    whole = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-    ending = np.fromiter((xxhash.xxh32_intdigest(w[-2:]) & (ENDINGS - 1) for w in words), np.uint64, len(words))
-    return (whole & ~np.uint64(ENDINGS - 1)) | ending
+#: Words of up to so many bytes are hashed together, longer ones one by one.
+LONG_WORD = 64
+
+
+def word_keys(words: pa.Array) -> np.ndarray:
+    """A 64-bit key of each word, none of them empty; its lowest two bits are a hash of the word's last two bytes.
+
+    The other bits are a multilinear hash: each byte times the multiplier of its place, added up, then mixed with the length."""
+    words = words.cast(pa.string())
+    size = pc.binary_length(words).to_numpy()
+    few = np.flatnonzero(size > LONG_WORD)
+    out = np.empty(len(size), np.uint64)
+    for k in few.tolist():
+        word = words[k].as_py().encode()
+        out[k] = (xxhash.xxh64_intdigest(word) & ~(ENDINGS - 1)) | (xxhash.xxh32_intdigest(word[-2:]) & (ENDINGS - 1))
+    rest = np.flatnonzero(size <= LONG_WORD)
+    if not len(rest):
+        return out
+    words, size = words.take(pa.array(rest)) if len(few) else words, size[rest].astype(np.int64)
+    first = np.frombuffer(words.buffers()[1], np.int32)[words.offset]
+    ends = np.cumsum(size)
+    held = np.frombuffer(words.buffers()[2], np.uint8)[first : first + ends[-1]].astype(np.uint64) + np.uint64(1)
+    place = np.arange(len(held)) - np.repeat(ends - size, size)
+    factor = mixed(np.arange(1, LONG_WORD + 1, dtype=np.uint64) * STEP)
+    last = held[ends - 1] + np.where(size > 1, held[ends - 2], np.uint64(0)) * np.uint64(257)
+    whole = mixed(np.add.reduceat(held * factor[place], ends - size) + size.astype(np.uint64))
+    out[rest] = (whole & ~np.uint64(ENDINGS - 1)) | (mixed(last * STEP) >> np.uint64(62))
+    return out
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,7 +99,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.ones(len(codes), bool)
     at[starts[1:] + np.arange(n)] = False
     codes[at] = which
-    return word_keys([*words, END_WORD]), codes, starts + np.arange(n + 1)
+    return np.append(word_keys(words), word_keys(pa.array([END_WORD]))), codes, starts + np.arange(n + 1)
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -143,6 +171,8 @@ class Model:
         self.weights = np.zeros(self.rows * CLASSES + (1 << self.tree_bits), np.float32)
         self.depth = np.array([max(0, int(n) - 1).bit_length() + 1 for n in classes.words], np.int64)
         self.first = np.concatenate([[0], np.cumsum(1 << self.depth)])
+        #: Levels of the tree, from the top, whose steps the features move; below, words have their shares by count.
+        self.moved = LEVELS + max(0, self.growth // 2)
         self.logits = np.zeros(0, np.float32)
         self.common, self.bands = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
@@ -184,43 +214,55 @@ class Model:
             band = np.where(self.common[at] == keys, self.bands[at], 0).astype(np.int64)
         return band * ENDINGS + (keys & np.uint64(ENDINGS - 1)).astype(np.int64)
 
+    @property
+    def starts(self) -> list[int]:
+        return [0, self.sizes[0], self.sizes[0] + self.sizes[1]]
+
     def class_rows(self, hashes: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
-        starts = np.cumsum([0, *self.sizes[:-1]])
-        return tuple((h >> np.uint64(65 - int(n).bit_length())).astype(np.int64) + s for h, n, s in zip(hashes, self.sizes, starts, strict=True))
+        return tuple((h >> np.uint64(65 - int(n).bit_length())).astype(np.int64) + s for h, n, s in zip(hashes, self.sizes, self.starts, strict=True))
 
     def paths(self, keys: np.ndarray, of: np.ndarray) -> Paths:
-        """The nodes with two sides on the way to each known word."""
+        """The nodes with two sides on the upper part of the way to each known word."""
         depth = self.depth[of]
-        word = np.repeat(np.arange(len(keys)), depth)
-        d = np.arange(len(word)) - np.repeat(np.cumsum(depth) - depth, depth)
-        left = depth[word] - d
-        lead = (keys >> (64 - depth).astype(np.uint64)).astype(np.int64)[word]
-        node = self.first[of][word] + (np.int64(1) << d) + (lead >> left)
+        taken = np.minimum(depth, self.moved)
+        word = np.repeat(np.arange(len(keys)), taken)
+        d = np.arange(len(word)) - np.repeat(np.cumsum(taken) - taken, taken)
+        left = np.repeat(depth, taken) - d
+        lead = np.repeat((keys >> (64 - depth).astype(np.uint64)).astype(np.int64), taken)
+        node = np.repeat(self.first[of], taken) + (np.int64(1) << d) + (lead >> left)
         base = self.logits[node]
         some = np.isfinite(base)
-        right = ((lead >> (left - 1)) & 1)[some].astype(np.float32)
+        side = 2 * ((lead >> (left - 1)) & 1)[some].astype(np.float32) - 1
         n = np.bincount(word[some], minlength=len(keys))
-        base, side = base[some], 2 * right - 1
+        base = base[some]
         share = np.bincount(word[some], np.log(1 + np.exp(-side * base)), len(keys))
         return Paths(node[some].astype(np.uint64) * STEP, base, side, np.cumsum(n) - n, n, share)
 
     def steps(self, paths: Paths, codes: np.ndarray, hashes: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-        """(token, path entry, tree weights of the three features, logit) of each step of the tokens ``codes``."""
+        """(number of steps, path entry, tree weights of the three features, logit) of the steps of the tokens ``codes``."""
         n = paths.count[codes]
-        token = np.repeat(np.arange(len(codes)), n)
-        at = np.arange(len(token)) + np.repeat(paths.start[codes] - (np.cumsum(n) - n), n)
-        node, shift = paths.node[at], np.uint64(64 - self.tree_bits)
-        places = [((h[token] + node) >> shift).view(np.int64) for h in hashes]
-        table = self.of_tree
-        return token, at, places, paths.base[at] + table[places[0]] + table[places[1]] + table[places[2]]
+        at = np.arange(n.sum()) + np.repeat(paths.start[codes] - (np.cumsum(n) - n), n)
+        node, shift, table = paths.node[at], np.uint64(64 - self.tree_bits), self.of_tree
+        places, z = [], paths.base[at]
+        for h in hashes:
+            place = np.repeat(h, n)
+            place += node
+            place >>= shift
+            places.append(place.view(np.int64))
+            z += table[places[-1]]
+        return n, at, places, z
 
     def tree_log10(self, paths: Paths, codes: np.ndarray, hashes: tuple[np.ndarray, ...]) -> np.ndarray:
         """What the features add to log10 P(word | class) of each token."""
-        token, at, _, z = self.steps(paths, codes, hashes)
+        n, at, _, z = self.steps(paths, codes, hashes)
         z *= paths.side[at]
         np.exp(np.negative(z, out=z), out=z)
         z += 1
-        return (paths.share[codes] - np.bincount(token, np.log(z, out=z), len(codes))) / np.log(10)
+        some, out = n > 0, paths.share[codes]
+        if len(z):
+            each = np.log(z, out=z)
+            out[some] -= np.add.reduceat(each, (np.cumsum(n) - n)[some], dtype=np.float64)
+        return out / np.log(10)
 
     def tree_step(self, paths: Paths, codes: np.ndarray, hashes: tuple[np.ndarray, ...], speed: np.ndarray) -> None:
         """One Adagrad step of the tree's weights."""
@@ -248,11 +290,27 @@ class Paths(NamedTuple):
     share: np.ndarray
 
 
-def class_log(weights: np.ndarray, rows: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Natural logarithms of P(class | history), one row a token."""
-    z = weights[rows[0]] + weights[rows[1]] + weights[rows[2]]
+def class_odds(weights: np.ndarray, rows: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(logits less the largest of the token, their exponentials, the sum of those), one row a token."""
+    z = weights[rows[0]]
+    z += weights[rows[1]]
+    z += weights[rows[2]]
     z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    each = np.exp(z)
+    return z, each, each.sum(axis=1, keepdims=True)
+
+
+def class_shares(weights: np.ndarray, rows: tuple[np.ndarray, ...]) -> np.ndarray:
+    """P(class | history), one row a token."""
+    _, each, total = class_odds(weights, rows)
+    each /= total
+    return each
+
+
+def class_log(weights: np.ndarray, rows: tuple[np.ndarray, ...], of: np.ndarray) -> np.ndarray:
+    """The natural logarithm of P(class | history) for each token's class ``of``."""
+    z, _, total = class_odds(weights, rows)
+    return z[np.arange(len(of)), of] - np.log(total[:, 0])
 
 
 class Slice:
@@ -301,10 +359,11 @@ def gradient_round(train: DataFrame, model: Model, trainers: int) -> DataFrame:
             for s in range(0, len(codes), STEP_TOKENS):
                 cut = slice(s, s + STEP_TOKENS)
                 mine = tuple(r[cut] for r in rows)
-                push = np.exp(class_log(now, mine))
+                push = class_shares(now, mine)
                 push[np.arange(len(push)), of[cut]] -= 1
-                for r in mine:
-                    order = np.argsort(r, kind="stable")
+                for r, n_rows, first_row in zip(mine, told.sizes, told.starts, strict=True):
+                    # few rows are sorted as 16-bit numbers, in linear time
+                    order = np.argsort((r - first_row).astype(np.uint16) if n_rows <= 1 << 16 else r, kind="stable")
                     ordered = r[order]
                     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
                     each, count = ordered[first], np.diff(first, append=len(ordered))
@@ -358,8 +417,7 @@ def slice_scores(docs: DataFrame, known: Slice, classes: Classes, model: Model)
             place, of, chosen = np.cumsum(seen) - 1, of[codes], np.flatnonzero(mine[codes])
             for s in range(0, len(chosen), AT_ONCE):
                 at = chosen[s : s + AT_ONCE]
-                logs = class_log(fit.of_classes, tuple(r[at] for r in rows))
-                values[at, 3] += logs[np.arange(len(at)), of[at]] / np.log(10)
+                values[at, 3] += class_log(fit.of_classes, tuple(r[at] for r in rows), of[at]) / np.log(10)
                 at = at[seen[codes[at]]]
                 values[at, 3] += fit.tree_log10(paths, place[codes[at]], tuple(h[at] for h in hashes))
             if not len(starts) - 1:

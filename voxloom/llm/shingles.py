@@ -30,23 +30,26 @@ def bounded(batches: Iterator[pa.RecordBatch], text: int, most: int = 6_000_000)
                 yield batch.slice(a, b - a)
 
 
-def coded_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def coded_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(distinct words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, the code of each word in order, where each text's
     codes begin and the last end)."""
     parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     coded, starts = parts.flatten().dictionary_encode(), parts.offsets.to_numpy()
-    words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-    if "" in words:
-        real = which != words.index("")
+    words, which = coded.dictionary, coded.indices.to_numpy()
+    none = pc.index(words, "").as_py()
+    if none >= 0:
+        real = which != none
         ends = np.concatenate([[0], np.cumsum(real)])
         which, starts = which[real], ends[starts]
+        # the empty word goes: words behind it move up
+        words, which = pa.concat_arrays([words[:none], words[none + 1 :]]), which - (which > none)
     return words, which, starts
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word in order, where each text's words begin and the last end)."""
     words, which, starts = coded_words(texts)
-    by_word = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    by_word = np.fromiter((xxhash.xxh64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
     return by_word[which], starts
 
 
