@@ -10,8 +10,8 @@ Labelled findings are rows (doc_id, start, end, secret). Where none are given, f
 leave unclear ones out: an assignment of a quoted mixed value to a name for keys is a secret; addresses, file names, plain
 words and digit runs are not. The forest sees at most ``MAX_LABELLED`` findings, those with the smallest hashes.
 
-The dictionary is the set of letter triples in the corpus's own frequent words; its size is bounded by the number of
-triples of ASCII letters. Scoring is the forest's own JVM code.
+The dictionary is the set of letter triples in the words of at least ``TRIPLE_SHARE`` of all documents; its size is bounded by the
+number of triples of ASCII letters. Scoring is the forest's own JVM code.
 
 Defined cases: null and empty texts have no candidates; repeated rows give their findings each; without labelled findings
 of both kinds every candidate is kept with a null score; an empty table gives an empty result; further columns are ignored.
@@ -30,7 +30,7 @@ from voxloom.llm.private_data import found
 from voxloom.session import read_table
 
 CANDIDATE = r"(?:(?<![A-Za-z0-9+/_=-])|\G)[A-Za-z0-9+/_-]{16,}+={0,2}+"
-MAX_LABELLED, TREES, DEPTH, THRESHOLD, FREQUENT_TRIPLES = 10_000, 20, 6, 0.5, 4000
+MAX_LABELLED, TREES, DEPTH, THRESHOLD, TRIPLE_SHARE = 10_000, 20, 6, 0.5, 0.002
 #: Fixed: names that keys are assigned to.
 NAMES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "key", "access_key", "auth", "bearer", "credential")
 #: What stands before an assigned value, with its opening quote, and before the password of an address; whole matches of both.
@@ -89,11 +89,11 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def frequent_triples(docs: DataFrame) -> DataFrame:
-    """(triple) of the letter triples that are in most documents' words, lower-cased; at most ``FREQUENT_TRIPLES``."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z]{3,8}+"), F.lit(0)))
-    triples = F.array_distinct(F.transform(F.slice(words, 1, 1 << 30), lambda w: F.substring(w, 1, 3)))
+    """(triple) of the letter triples, anywhere in the words, that at least ``TRIPLE_SHARE`` of the documents hold, lower-cased."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z]{3,}+"), F.lit(0)))
+    triples = F.array_distinct(F.regexp_extract_all(F.array_join(words, " "), F.lit("(?=([a-z]{3}))"), F.lit(1)))
     counts = docs.select(F.explode(triples).alias("triple")).groupBy("triple").agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), "triple").limit(FREQUENT_TRIPLES).select("triple")
+    return counts.where(F.col("n") >= TRIPLE_SHARE * docs.count()).select("triple")
 
 
 def classes(value: Column) -> Column:
