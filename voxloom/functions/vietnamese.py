@@ -90,6 +90,8 @@ def spoken(parts: str, joints: tuple[str, ...]) -> str:
 
 
 def speak_dates(text: str) -> str:
+    if "/" not in text:
+        return text
     text = DAY_MONTH_YEAR.sub(lambda m: spoken(m[0], ("tháng", "năm")), text)
     text = MONTH_YEAR.sub(lambda m: spoken(m[0], ("năm",)), text)
     return DAY_MONTH.sub(lambda m: spoken(m[0], ("tháng",)), text)
@@ -127,8 +129,13 @@ def romans_as_words(text: Column) -> Column:
 
 def replace_all(text: Column, characters: str = T.BOOK_PUNCTUATION) -> Column:
     """Book text as it is read aloud. The order matters: addresses, dates, line ends, numbers, punctuation, symbols,
-    Roman numerals, letters, blanks."""
-    text = dates_as_words(T.strip_urls(text))
-    text = numbers_as_words(F.replace(text, F.lit("\n"), F.lit(";")))
-    text = romans_as_words(T.speak_symbols(T.eliminate(text, characters)))
-    return T.collapse_lower(T.keep_vietnamese(text))
+    Roman numerals, letters, blanks. What lies between the dates and the Roman numerals runs beside them, in one pass through Python."""
+    blanks = {ord(c): " " for c in characters}
+
+    def aloud(t: str) -> str:
+        t = speak_numbers(speak_dates(t).replace("\n", ";")).translate(blanks)
+        for symbol, words in T.SPOKEN:
+            t = t.replace(symbol, words)
+        return speak_romans(t)
+
+    return T.collapse_lower(T.keep_vietnamese(over(aloud, "read_aloud")(T.strip_urls(text))))

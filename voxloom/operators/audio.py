@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.arrays import fixed_chunks
-from voxloom.operators.sampling import random_index, uniform
+from voxloom.operators.sampling import draw, random_index, uniform
 
 RATE = 16000
 
@@ -184,7 +184,7 @@ def with_noise(samples: Column, seed: int, key: Column, least_db: float = 1.0, m
             out.append((x + noise).tolist())
         return pd.Series(out)
 
-    return F.pandas_udf(run, "array<double>")(samples, level, F.xxhash64(key, F.lit(seed)))
+    return F.pandas_udf(run, "array<double>")(samples, level, draw(seed, key))
 
 
 def with_tanh(samples: Column, strength: Column | float) -> Column:

@@ -8,8 +8,9 @@ from pyspark.sql.window import Window
 
 
 def draw(seed: int, *key: str | Column) -> Column:
-    """A pseudo-random long for a key."""
-    return F.xxhash64(*key, F.lit(seed))
+    """A pseudo-random long from 0 for a key: the first 60 bits of an MD5, which other engines compute alike."""
+    named = F.concat_ws("|", *((F.col(k) if isinstance(k, str) else k).cast("string") for k in key), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(named.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def uniform(seed: int, *key: str | Column) -> Column:
@@ -58,12 +59,12 @@ def random_index(n: Column | int, seed: int, *key: str | Column) -> Column:
 
 def draws_with_replacement(values: Column, count: Column, seed: int, *key: str | Column) -> Column:
     """``count`` entries of an array, drawn with replacement."""
-    each = F.transform(F.sequence(F.lit(1), count), lambda i: F.element_at(values, (F.pmod(F.xxhash64(*key, i, F.lit(seed)), F.size(values).cast("long")) + 1).cast("int")))
+    each = F.transform(F.sequence(F.lit(1), count), lambda i: F.element_at(values, (F.pmod(draw(seed, *key, i), F.size(values).cast("long")) + 1).cast("int")))
     return F.when(count > 0, each).otherwise(F.slice(values, 1, 0))
 
 
 def binary_pattern(ones: Column, length: Column, seed: int, *key: str | Column) -> Column:
     """An array of 0 and 1 with exactly so many ones, shuffled by hash; more ones than places is an error."""
     plain = F.concat(F.array_repeat(F.lit(1), ones), F.array_repeat(F.lit(0), length - ones))
-    mixed = F.transform(F.array_sort(F.transform(plain, lambda x, i: F.struct(F.xxhash64(*key, i, F.lit(seed)).alias("h"), x.alias("x")))), lambda s: s["x"])
+    mixed = F.transform(F.array_sort(F.transform(plain, lambda x, i: F.struct(draw(seed, *key, i).alias("h"), x.alias("x")))), lambda s: s["x"])
     return F.when(ones > length, F.raise_error(F.lit("more ones than places"))).otherwise(mixed)

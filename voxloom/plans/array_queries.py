@@ -9,15 +9,14 @@ from voxloom.functions import arrays as A
 from voxloom.functions import text as T
 from voxloom.operators import audio as W
 from voxloom.operators.mapper import padded_batch
-from voxloom.operators.sampling import uniform
 from voxloom.operators.vocabulary import sentence
-from voxloom.plans.registry import query
+from voxloom.plans.registry import query, quoted, sql_draw
 from voxloom.plans.text_queries import sql_tokens
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    return spread(read_table(spark, sf_dir, "embeddings")).select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
 
 
 @query("""
@@ -79,11 +78,11 @@ def restore_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT vec_id, list_concat(list_transform(generate_series(1, 10), lambda i: 0.0::DOUBLE), list_transform(embedding[1:5], lambda v: v::DOUBLE),
+SELECT vec_id, list_concat(list_transform(generate_series(1, 10), lambda i: 0.0::DOUBLE), list_transform(embedding, lambda v: v::DOUBLE),
   list_transform(generate_series(1, 15), lambda i: 0.0::DOUBLE)) AS mixed FROM embeddings
 """)
 def mix_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return samples(spark, sf_dir).select("vec_id", A.mixed_in(A.zeros(F.lit(30)), F.slice("x", 1, 5), F.lit(10)).alias("mixed"))
+    return samples(spark, sf_dir).select("vec_id", A.mixed_in(A.zeros(F.size("x") + 25), F.col("x"), F.lit(10)).alias("mixed"))
 
 
 @query("SELECT vec_id, 'p' || vec_id AS path, embedding AS samples, label FROM embeddings")
@@ -100,7 +99,7 @@ def null_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emptied.select("vec_id", F.col("audio.path").alias("path"), F.col("audio.sampling_rate").alias("rate"))
 
 
-@query()
+@query("SELECT vec_id, len(embedding)::INTEGER AS n, len(embedding) AS frames, len(embedding)::DOUBLE / 16000 AS seconds, len(embedding)::INTEGER AS decoded FROM embeddings")
 def wav_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     blob = samples(spark, sf_dir).select("vec_id", F.size("x").alias("n"), W.wav_bytes(F.col("x")).alias("content"))
     told = blob.select("vec_id", "n", W.wav_header(F.col("content")).alias("h"), W.wav_samples(F.col("content")).alias("y"))
@@ -109,9 +108,10 @@ def wav_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def silence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loud = F.transform(F.sequence(F.lit(0), F.lit(7999)), lambda i: F.when(F.floor(i / 2000) % 2 == 0, F.sin(i.cast("double"))).otherwise(F.lit(0.0)))
-    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", loud.alias("x"))
-    return W.split_by_silence(rows, "vec_id", "x", rate=1000, top_db=30, frame=512, most=4, least=1).select("vec_id", "n", F.size("piece").alias("length"))
+    """Each sample sounds for 125 samples, quiet ones not at all."""
+    sound = F.flatten(F.transform("x", lambda v: F.transform(F.sequence(F.lit(0), F.lit(124)), lambda i: F.when(F.abs(v) >= 0.1, v * F.sin(i.cast("double"))).otherwise(F.lit(0.0)))))
+    rows = samples(spark, sf_dir).select("vec_id", sound.alias("x"))
+    return W.split_by_silence(rows, "vec_id", "x", rate=100, top_db=30, frame=64, most=10, least=1).select("vec_id", "n", F.size("piece").alias("length"))
 
 
 @query()
@@ -124,13 +124,26 @@ def effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+def _effect_sql() -> str:
+    table = W.effect_weights(10)
+    index = f"({sql_draw(5, 'doc_id')} % {table[-1][3]})"
+    cases = " ".join(f"WHEN i < {end} THEN {quoted(name)}" for name, _, _, end in table)
+    return f"SELECT doc_id, (i + 1)::INTEGER AS effect_index, CASE {cases} END AS effect FROM (SELECT doc_id, {index} AS i FROM documents)"
+
+
+@query(_effect_sql())
 def effect_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.augment_plan(read_table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 10, 5)
 
 
-@query()
+@query(f"""
+WITH d AS (SELECT doc_id,
+    list_transform([1, 2, 3], lambda i: ['alpha', 'beta', 'gamma'][{sql_draw(9, 'doc_id', 'i')} % 3 + 1]) AS one,
+    list_transform([1, 2, 3, 4, 5], lambda i: ['the', 'of', 'and', 'to'][{sql_draw(10, 'doc_id', 'i')} % 4 + 1]) AS two,
+    list_sort(list_transform([0, 1, 2, 3, 4, 5, 6, 7], lambda i: {{'h': {sql_draw(11, 'doc_id', 'i')}, 'x': CASE WHEN i < 3 THEN 1 ELSE 0 END}})) AS pattern FROM documents),
+e AS (SELECT doc_id, one, two, list_transform(pattern, lambda p: p.x) AS xs FROM d)
+SELECT doc_id, array_to_string(list_transform(xs, lambda x, i: CASE WHEN x = 1 THEN one[list_sum(xs[1 : i])::INTEGER] ELSE two[(i - list_sum(xs[1 : i]))::INTEGER] END), ' ') AS text FROM e
+""")
 def unseen_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.array(*(F.lit(w) for w in ("alpha", "beta", "gamma"))), F.array(*(F.lit(w) for w in ("the", "of", "and", "to")))
-    rows = read_table(spark, sf_dir, "documents").select("doc_id", uniform(9, "doc_id").alias("u"))
-    return rows.select("doc_id", sentence(*words, 8, 0.3, 9, "doc_id").alias("text"))
+    return read_table(spark, sf_dir, "documents").select("doc_id", sentence(*words, 8, 0.3, 9, "doc_id").alias("text"))

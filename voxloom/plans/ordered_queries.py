@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom.operators import ordered as O
 from voxloom.operators import sampling as S
-from voxloom.plans.registry import query
+from voxloom.plans.registry import query, sql_draw
 from voxloom.session import read_table
 from voxloom.sources.sinks import segmented
 
@@ -74,22 +74,26 @@ def arithmetic_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.arithmetic_split(read_table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 0.03)
 
 
-@query()
+DRAW = sql_draw(7, "doc_id")
+
+
+@query(f"SELECT doc_id, CASE WHEN ({DRAW} % {1 << 53})::DOUBLE / {1 << 53} < 0.03 THEN 'test' ELSE 'train' END AS split FROM documents")
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.hash_split(read_table(spark, sf_dir, "documents").select("doc_id"), 0.03, 7, "doc_id")
 
 
-@query()
+@query(f"SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {DRAW}, doc_id) <= 30 THEN 'test' ELSE 'train' END AS split FROM documents")
 def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.exact_split(read_table(spark, sf_dir, "documents").select("doc_id"), 30, 7, "doc_id")
 
 
-@query()
+@query(f"SELECT doc_id, source, {DRAW} AS place FROM documents ORDER BY place, doc_id")
 def seeded_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.shuffled(read_table(spark, sf_dir, "documents").select("doc_id", "source"), 7, "doc_id")
+    mixed = S.shuffled(read_table(spark, sf_dir, "documents").select("doc_id", "source"), 7, "doc_id")
+    return mixed.withColumn("place", S.draw(7, "doc_id"))
 
 
-@query()
+@query(f"SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY {DRAW}, doc_id LIMIT 1")
 def pick_undone(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id")
     return S.pick_undone(docs, read_table(spark, sf_dir, "labels"), ["doc_id"], 7)

@@ -26,3 +26,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def quoted(text: str) -> str:
     """A SQL string literal."""
     return "'" + text.replace("'", "''") + "'"
+
+
+def sql_draw(seed: int, *key: str) -> str:
+    """What ``operators.sampling.draw`` computes, in SQL."""
+    return f"('0x' || substr(md5(concat_ws('|', {', '.join(key)}, {seed})), 1, 15))::BIGINT"

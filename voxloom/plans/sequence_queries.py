@@ -11,7 +11,7 @@ from voxloom.operators import mapper
 from voxloom.operators.alignment import Policy, align_column, align_recordings
 from voxloom.plans.registry import query
 from voxloom.plans.wer_queries import pairs
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 
 @query()
@@ -28,7 +28,7 @@ def sw_align_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def align_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = read_table(spark, sf_dir, "conversations")
+    turns = spread(read_table(spark, sf_dir, "conversations"))
     rec = F.col("conv_id").cast("string")
     whole = turns.groupBy(rec.alias("rec")).agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
     targets = whole.select("rec", F.array_join(F.transform("t", lambda x: x["text"]), " ").alias("text"))
@@ -72,5 +72,5 @@ def upper_model():
 
 @query("SELECT doc_id, replace(upper(text), 'ẞ', 'SS') AS text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def transcribe_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    todo = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    todo = spread(read_table(spark, sf_dir, "documents")).select("doc_id", "text")
     return mapper.apply(todo, upper_model, "doc_id long, text string", read_table(spark, sf_dir, "labels"), ["doc_id"])

@@ -9,7 +9,7 @@ from voxloom.functions import text as T
 from voxloom.functions import vietnamese as V
 from voxloom.operators.vocabulary import totals, unseen_terms, word_counts
 from voxloom.plans.registry import query, quoted
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 PUNCT = quoted(T.UNIQUE_PUNCTUATION)
 BLANKED = f"""regexp_replace(lower(translate(regexp_replace(text, '<unk>|''', ' ', 'g'), {quoted(T.UNIQUE_PUNCTUATION)} || chr(10), repeat(' ', {len(T.UNIQUE_PUNCTUATION) + 1}))), '\\s+', ' ', 'g')"""
@@ -22,7 +22,7 @@ def sql_tokens(column: str) -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents")
+    return spread(read_table(spark, sf_dir, "documents"))
 
 
 @query(f"SELECT doc_id, {SQL_NORMAL} AS normal FROM documents")
@@ -142,7 +142,7 @@ def vocab_count_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _vocabularies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Terms of one and two words from ``conversations``; words seen in ``documents``."""
-    items = read_table(spark, sf_dir, "conversations").select(T.tokens(T.normalize(F.col("text"))).alias("ws"))
+    items = spread(read_table(spark, sf_dir, "conversations")).select(T.tokens(T.normalize(F.col("text"))).alias("ws"))
     two = F.transform(F.sequence(F.lit(1), F.size("ws") - 1), lambda k: F.array_join(F.slice("ws", k, 2), " "))
     terms = items.where("size(ws) > 1").select(F.explode(F.concat("ws", two)).alias("word"))
     seen = documents(spark, sf_dir).select(F.explode(F.array_distinct(T.tokens(T.normalize(F.col("text"))))).alias("word")).distinct()
@@ -236,12 +236,39 @@ def replace_all_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", V.replace_all(F.col("text")).alias("spoken"))
 
 
-@query()
+def _sql_below_thousand(n: str, whole: str) -> str:
+    word = "[" + ", ".join(quoted(w) for w in V.DIGIT_WORDS) + "]"
+    h, t, o = f"(({n}) // 100)", f"(({n}) // 10 % 10)", f"(({n}) % 10)"
+    spoken = f"({h} > 0 OR {whole})"
+    return (
+        f"concat_ws(' ', CASE WHEN {spoken} THEN {word}[{h} + 1] || ' trăm' END, "
+        f"CASE WHEN {t} > 1 THEN {word}[{t} + 1] || ' mươi' WHEN {t} = 1 THEN 'mười' WHEN {o} > 0 AND {spoken} THEN 'lẻ' END, "
+        f"CASE WHEN {o} = 0 THEN NULL WHEN {t} > 1 AND {o} = 1 THEN 'mốt' WHEN {t} > 1 AND {o} = 4 THEN 'tư' WHEN {t} > 0 AND {o} = 5 THEN 'lăm' ELSE {word}[{o} + 1] END)"
+    )
+
+
+def _sql_spelled(n: str) -> str:
+    """A whole number from 0 and below a thousand million."""
+    high, mid, low = f"({n} // 1000000)", f"({n} // 1000 % 1000)", f"({n} % 1000)"
+    return (
+        f"CASE WHEN {n} = 0 THEN 'không' ELSE concat_ws(' ', CASE WHEN {high} > 0 THEN {_sql_below_thousand(high, 'false')} || ' triệu' END, "
+        f"CASE WHEN {mid} > 0 THEN {_sql_below_thousand(mid, f'{high} > 0')} || ' nghìn' END, "
+        f"CASE WHEN {low} > 0 THEN {_sql_below_thousand(low, f'({high} > 0 OR {mid} > 0)')} END) END"
+    )
+
+
+@query(f"""
+SELECT o_orderkey, 'ngày ' || {_sql_spelled('d')} || ' tháng ' || {_sql_spelled('m')} || ' năm ' || {_sql_spelled('y')} || ' giá ' || {_sql_spelled('k')} AS spoken
+FROM (SELECT o_orderkey, o_orderkey AS k, day(o_orderdate) AS d, month(o_orderdate) AS m, year(o_orderdate) AS y FROM orders)
+""")
 def spell_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = F.concat(F.lit("ngày "), F.date_format("o_orderdate", "d/M/yyyy"), F.lit(" giá "), F.col("o_orderkey").cast("string"))
     return read_table(spark, sf_dir, "orders").select("o_orderkey", V.numbers_as_words(V.dates_as_words(date)).alias("spoken"))
 
 
-@query()
+@query(rf"""
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower({SQL_NORMAL}), '[<\[][^>\]]*[>\]]', '', 'g'), '\([^)]+?\)', '', 'g'),
+  '[\p{{M}}\p{{S}}\p{{P}}]', ' ', 'g'), '\s+', ' ', 'g') AS plain FROM documents
+""")
 def metric_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", T.metric_text(T.normalize(F.col("text"))).alias("plain"))

@@ -13,6 +13,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A table of fewer stored bytes than this for each core may lie in a single row group, which is a single task.
+LEAST_A_CORE = 4 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where it is too small to be read by all: a small file is often one row group, and so one task however
+    much work its rows are. Larger tables are left as they are read; the rows are the same."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * LEAST_A_CORE else df
+
+
 def share_package(spark: SparkSession) -> SparkSession:
     """Lets Python workers on machines that see this folder import the package without further settings."""
     root = str(Path(__file__).resolve().parent.parent)
@@ -30,6 +42,7 @@ def local_session(cpus: int | str = "*", memory: str = "8g", partitions: int = 8
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
