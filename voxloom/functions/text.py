@@ -86,10 +86,10 @@ def ranges(characters: str) -> str:
 
 
 def keep_vietnamese(text: Column) -> Column:
-    """All but letters of Vietnamese, ASCII letters, digits and the underscore become blanks."""
-    ascii_only = F.octet_length(text) == F.char_length(text)
-    letters = "a-z0-9A-Z_" + ranges(VIETNAMESE + VIETNAMESE.upper())
-    return F.when(ascii_only, F.regexp_replace(text, "[^a-z0-9A-Z_]", " ")).otherwise(F.regexp_replace(text, f"[^{letters}]", " "))
+    """All but letters of Vietnamese, ASCII letters, digits and the underscore become blanks.
+
+    A small class is looked at first, so that only the few other characters are held against the long one."""
+    return F.regexp_replace(text, f"(?=[^a-z0-9A-Z_ ])[^{ranges(VIETNAMESE + VIETNAMESE.upper())}]", " ")
 
 
 def collapse_lower(text: Column) -> Column:
