@@ -114,7 +114,8 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataF
     now, path = Scratch.write_at(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"
     )
-    for _ in range(most_rounds):
+    before = now.count()
+    for _ in range(most_rounds if before else 0):
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -123,12 +124,13 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataF
         small = low.join(small_least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small_least)
         new, new_path = Scratch.write_at(small.where("u <> v").distinct(), "links")
         size = new.count()
-        changed = size != now.count() or new.join(now, ["u", "v"], "left_anti").limit(1).count() > 0
+        changed = size != before or new.join(now, ["u", "v"], "left_anti").limit(1).count() > 0
         Scratch.drop(spark, path)
-        now, path = new, new_path
+        now, path, before = new, new_path, size
         if not changed:
             break
     else:
-        raise RuntimeError("components: the links did not settle")
+        if before:
+            raise RuntimeError("components: the links did not settle")
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.union(stars.select(F.col("root").alias("node"), "root").distinct())

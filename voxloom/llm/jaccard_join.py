@@ -390,6 +390,12 @@ def unlabelled_alike(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 MOST_SENT = 400_000
 
 
+def few_of(sets: DataFrame, sids: DataFrame) -> DataFrame:
+    """Those of ``sets`` whose sid is in ``sids``."""
+    sids = Scratch.write(sids.distinct(), "sids")
+    return sets.join(F.broadcast(sids) if sids.count() <= MOST_SENT else sids, "sid", "left_semi")
+
+
 def full_sets(docs: DataFrame, pairs: DataFrame, chosen: DataFrame) -> tuple[DataFrame, str]:
     """(sid, tokens, as_x, as_y) of the sets in ``pairs``, written, and where; as_x, as_y: on which side they are needed."""
 
@@ -494,8 +500,13 @@ def recentred(own: DataFrame, of: DataFrame, common: DataFrame, full: DataFrame)
     hubs = Scratch.write(central(of), "hubs")
     named = hubs.select(F.col("hub").alias("sid"), "m")
     loose = common.join(own.select(F.col("x").alias("sid")).join(named, "sid", "left_anti"), "sid", "left_anti")
-    meeting = pivot_pairs(loose, named).select("x", "y")
-    met = Scratch.write(verified(meeting, full, full, hubs=True), "met")
+    meeting = Scratch.write(pivot_pairs(loose, named).select("x", "y"), "meeting")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        x, y = pairs.select(F.col("x").alias("sid")), pairs.select(F.col("y").alias("sid"))
+        return verified(pairs, few_of(full, x), few_of(full, y), hubs=True)
+
+    met = Scratch.write(compared(meeting), "met")
     fitting = met.where(F.col("both") >= MOVES * F.greatest("xn", "yn")).join(named.withColumnRenamed("sid", "y"), "y")
     larger = fitting.join(named.select(F.col("sid").alias("x"), F.col("m").alias("xm")), "x", "left").where("xm IS NULL OR struct(m, y) < struct(xm, x)")
     goal = larger.groupBy("x").agg(F.min(F.struct("m", "y")).alias("g")).select("x", F.col("g.y").alias("y"))
@@ -506,7 +517,7 @@ def recentred(own: DataFrame, of: DataFrame, common: DataFrame, full: DataFrame)
     moves = last.join(goal.select("x"), "x", "left_anti").union(goal)
     moves = Scratch.write(moves.union(hubs.select(F.col("hub").alias("x"), F.col("hub").alias("y")).join(goal.select("x"), "x", "left_anti")), "moves")
     pairs = sets.select("x", F.col("hub").alias("y")).union(moves.where("x <> y")).distinct().join(met.select("x", "y"), ["x", "y"], "left_anti")
-    return moves, Scratch.write(verified(pairs, full, full, hubs=True), "by-hub").union(met)
+    return moves, Scratch.write(compared(Scratch.write(pairs, "pairs")), "by-hub").union(met)
 
 
 def rest_shingles(of: DataFrame) -> DataFrame:
@@ -600,7 +611,9 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     moved, by_hub = recentred(own, members(own, roots), common, full)
     Scratch.drop(spark, full_at)
     near = near.union(by_hub)
-    roots = Scratch.write(components(near.where("linked").select("x", "y"), "x", "y"), "roots")
+    # classes so far stand for their links
+    links = roots.select(F.col("node").alias("x"), F.col("root").alias("y")).union(by_hub.where("linked").select("x", "y"))
+    roots = Scratch.write(components(links, "x", "y"), "roots")
     attached = Scratch.write(members(own.join(moved, "x", "left_anti").union(attached_to(by_hub.join(moved, ["x", "y"], "left_semi"))), roots), "members")
 
     nodes = near.select(F.col("x").alias("sid")).union(near.select("y")).distinct()
@@ -620,7 +633,7 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     full, full_at = full_sets(docs, pairs, chosen)
     rest = Scratch.write(verified(pairs, full.where("as_x"), full.where("as_y")), "rest")
     Scratch.drop(spark, full_at)
-    links = near.where("linked").select("x", "y").union(rest.where("linked").select("x", "y"))
+    links = roots.select(F.col("node").alias("x"), F.col("root").alias("y")).union(rest.where("linked").select("x", "y"))
     roots = Scratch.write(components(links, "x", "y"), "roots")
 
     by_set = chosen.join(roots, chosen["sid"] == roots["node"], "left").select("sid", "doc_id", F.coalesce("root", "sid").alias("root"))
