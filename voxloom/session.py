@@ -22,7 +22,7 @@ def spread(df: DataFrame) -> DataFrame:
     much work its rows are. Larger tables are left as they are read; the rows are the same."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * LEAST_A_CORE else df
+    return df.repartition(cores) if 1 < cores and size < cores * LEAST_A_CORE else df
 
 
 def share_package(spark: SparkSession) -> SparkSession:
