@@ -153,6 +153,20 @@ def test_repeats_of_very_long_texts(spark, monkeypatch):
     assert quality_rules.statistics(docs).first()["_s"]["n_repeat_words"] == brute.statistics(text)[4]
 
 
+def test_decision_list_is_learned_on_what_the_base_rules_leave(spark):
+    """Short documents with labels of both kinds don't hide a rule that separates the others."""
+    import random
+
+    rng = random.Random(2)
+    text = lambda n, mark: " ".join(f"{rng.choice('abcdefgh')}{rng.randint(0, 999)}{mark if rng.random() < 0.4 else ''}" for _ in range(n))
+    made = [(k, text(20, ""), k % 2) for k in range(60)] + [(100 + k, text(80, "$$"), 0) for k in range(40)] + [(200 + k, text(80, ""), 1) for k in range(100)]
+    docs = spark.createDataFrame([m[:2] for m in made], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, q, 0) for d, _, q in made], LABELS)
+    got = rows(quality_rules.judged(docs, labels))
+    assert [d for d, r in got.items() if r["kept"]] and {d for d, r in got.items() if r["kept"]} == set(range(200, 300))
+    assert all(got[d]["base_failed"] for d in range(60)) and not any(got[d]["base_failed"] for d in range(100, 300))
+
+
 def test_decision_list_separates_and_is_ordered():
     rows = [({f: 0.0 for f in quality_rules.FEATURES} | {"symbol_share": 0.5 if k % 4 == 0 else 0.01 * (k % 3), "words": float(k)}, k % 4 == 0) for k in range(400)]
     rules = quality_rules.learn(rows)

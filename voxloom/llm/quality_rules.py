@@ -6,7 +6,7 @@ the last third, keep it if it is precise enough there, take away what it covers,
 conditional expression, so that applying it is part of the same scan.
 
 The learner sees a bounded sample: at most ``MAX_LABELLED`` labelled documents, those with the smallest hashes of
-doc_id. Everything else covers all rows.
+doc_id, less those that the base rules reject anyway: the list is for what they leave. Everything else covers all rows.
 
 Defined cases: a null or empty text has no words and fails the base rules; labels without documents, with null quality
 or with several rows for a document (the lowest counts) are handled; without labels of both kinds no rule is learned and
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import BLANKS, blank_words, let
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 MAX_LABELLED = 6000
 MIN_PRECISION, MIN_COVER, MAX_RULES, MAX_CONDITIONS, CUTS = 0.99, 8, 10, 4, 48
@@ -92,6 +92,11 @@ def features() -> dict[str, Column]:
     }
 
 
+def base_failed() -> Column:
+    """Whether the base rules reject, from the struct of counts."""
+    return (F.col("_s.n_words") < 50) | (F.col("_s.n_repeat_words") * 100 > F.col("_s.n_words") * 50)
+
+
 @dataclass(frozen=True)
 class Condition:
     """``feature >= cut`` if ``above``, else ``feature < cut``."""
@@ -162,7 +167,7 @@ def learn(rows: list[tuple[dict, bool]]) -> list[list[Condition]]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> list[tuple[dict, bool]]:
-    """(features, bad) of at most ``most`` labelled documents, by doc_id; which ones depends on doc_ids only."""
+    """(features, bad) of at most ``most`` labelled documents that pass the base rules, by doc_id; which ones depends on doc_ids only."""
     known = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
     n = known.count()
     space = 1 << 20
@@ -170,7 +175,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
     chosen = known.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(space)) < share).limit(most)
     read = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     named = features()
-    got = statistics(read).select("doc_id", "_quality", *(named[k].alias(k) for k in FEATURES)).limit(most).collect()
+    got = statistics(read).where(~base_failed()).select("doc_id", "_quality", *(named[k].alias(k) for k in FEATURES)).limit(most).collect()
     got.sort(key=lambda r: (r["doc_id"], *(r[k] for k in FEATURES)))
     return [({k: r[k] for k in FEATURES}, r["_quality"] == 0) for r in got]
 
@@ -190,14 +195,13 @@ def decision_column(rules: list[list[Condition]]) -> Column:
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with the struct ``_s`` of counts, ``base_failed``, ``rule`` and ``kept``."""
     rules = learn(labelled_sample(docs, labels))
-    base = (F.col("_s.n_words") < 50) | (F.col("_s.n_repeat_words") * 100 > F.col("_s.n_words") * 50)
-    out = statistics(docs).withColumn("base_failed", base).withColumn("rule", decision_column(rules))
+    out = statistics(docs).withColumn("base_failed", base_failed()).withColumn("rule", decision_column(rules))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query over all ``documents``, learning from ``labels``."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents")).select("doc_id", "text")
     return judged(docs, read_table(spark, sf_dir, "labels")).select(
         "doc_id", "_s.n_words", "_s.word_chars", "_s.n_symbols", F.col("_s.lines.dup").alias("n_dup_lines"),
         "_s.n_repeat_words", "base_failed", "kept", "rule",
