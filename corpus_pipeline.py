@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
 from voxloom.llm.common import BLANKS, Scratch
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 #: Up to so many doc_ids (8 bytes each) are sent to every task; a longer list is joined by shuffle.
 MOST_SENT = 1_000_000
@@ -59,7 +59,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is a written table, read again by the next."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     for name, stage in STAGES:
         docs = Scratch.write(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

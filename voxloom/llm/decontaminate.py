@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from voxloom.llm.common import Scratch, ascii_lower, let, pieces
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -103,7 +103,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_inline: in
         )
 
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), let(item_words(F.col("text")), candidates).alias("d"))
-    spread = rows.select("doc_id", "_row", F.col("d.n_words").alias("n_words"), F.explode_outer("d.c").alias("c")).select(
+    each = rows.select("doc_id", "_row", F.col("d.n_words").alias("n_words"), F.explode_outer("d.c").alias("c")).select(
         "doc_id", "_row", "n_words", F.col("c.at").alias("at"), F.col("c.from").alias("from"),
         F.get("c.near", F.col("c.at") - F.col("c.from")).alias("anchor"), F.col("c.near").alias("near"),
     )
@@ -111,7 +111,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_inline: in
     inside = (start >= 0) & (start + F.size("words") <= F.col("n_words"))
     exact = F.slice("near", start - F.col("from") + 1, F.size("words")) == F.col("words")
     table = F.broadcast(anchors) if small else anchors
-    met = spread.join(table, "anchor", "left").select(
+    met = each.join(table, "anchor", "left").select(
         "doc_id", "_row", "n_words",
         F.when(inside & exact, F.struct(start.cast("long").alias("s"), (start + F.size("words")).cast("long").alias("e"), "window_id")).alias("hit"),
     )
@@ -136,7 +136,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_inline: in
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query over all ``documents`` against all of ``benchmark``."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents")).select("doc_id", "text")
     found = hits(docs, read_table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),

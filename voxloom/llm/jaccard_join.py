@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm.common import Scratch, components
 from voxloom.llm.shingles import bounded, shingle_sets
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 WIDTH = 5
 #: The list of frequent shingles: at most so many, each in at least so many distinct sets. It shapes the order only.
@@ -646,7 +646,7 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query over all ``documents``."""
-    return link_classes(read_table(spark, sf_dir, "documents"))
+    return link_classes(spread(read_table(spark, sf_dir, "documents")))
 
 
 ORACLE = r"""

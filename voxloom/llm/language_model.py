@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm.common import Scratch
 from voxloom.llm.shingles import STEP, bounded, coded_words, mixed
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 FOLDS, HELD_OUT = 5, 1
 SLICE = 8_000_000
@@ -471,4 +471,4 @@ def scored(docs: DataFrame, most: int = SLICE, rounds: int = ROUNDS) -> DataFram
 
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query over all ``documents``."""
-    return scored(read_table(spark, sf_dir, "documents"))
+    return scored(spread(read_table(spark, sf_dir, "documents")))

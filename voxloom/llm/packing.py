@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import Scratch
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 SEQUENCE, END, GROUP = 2048, 0, 4000
 #: Fixed: how byte-level BPE of this vocabulary cuts a text before merging.
@@ -155,5 +155,5 @@ def packed(rows: DataFrame, size: int = SEQUENCE, group: int = GROUP) -> DataFra
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query over all ``documents``."""
-    rows = Scratch.write(pieces(read_table(spark, sf_dir, "documents")), "pieces")
+    rows = Scratch.write(pieces(spread(read_table(spark, sf_dir, "documents"))), "pieces")
     return packed(rows)

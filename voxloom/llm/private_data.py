@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import Scratch, let
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -202,6 +202,6 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 def op5_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query over all ``documents``."""
-    got = personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    got = personal_data(spread(read_table(spark, sf_dir, "documents")).select("doc_id", "text"))
     counts = [F.size(F.filter("base", of_kind(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return got.select("doc_id", *counts, F.sha2(joined_spans(F.col("base")), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm.common import Scratch, let
 from voxloom.llm.private_data import found
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 CANDIDATE = r"(?:(?<![A-Za-z0-9+/_=-])|\G)[A-Za-z0-9+/_-]{16,}+={0,2}+"
 MAX_LABELLED, TREES, DEPTH, THRESHOLD, TRIPLE_SHARE = 10_000, 20, 6, 0.5, 0.002
@@ -172,7 +172,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query over all ``documents``: every finding; values leave as hashes."""
-    got = scan(read_table(spark, sf_dir, "documents"))
+    got = scan(spread(read_table(spark, sf_dir, "documents")))
     return got.select(
         "doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"),
         F.sha2("value", 256).alias("value_sha256"), "score", "secret",

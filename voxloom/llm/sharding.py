@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from voxloom.llm.common import Scratch, key128, numbered
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 SHARDS, UNIT, ROUNDS, BUCKET = 8, 256, 6, 20_000
 
@@ -117,8 +117,8 @@ def sharded(docs: DataFrame, shards: int = SHARDS, unit: int = UNIT, rounds: int
     even = evened(placed, quotas, buckets)
     even = Scratch.write(even, "even")
     slots = numbered(even, "slot", ["shard"], ["doc_id", "row"], buckets)
-    spread = even.join(linked, ["g1", "g2"], "left_semi").groupBy("g1", "g2").agg((F.min("shard") != F.max("shard")).alias("cut"))
-    return slots.join(spread, ["g1", "g2"], "left").select(
+    parted = even.join(linked, ["g1", "g2"], "left_semi").groupBy("g1", "g2").agg((F.min("shard") != F.max("shard")).alias("cut"))
+    return slots.join(parted, ["g1", "g2"], "left").select(
         "doc_id", "size", "text_crc32", "shard", "slot", F.coalesce("cut", F.lit(False)).alias("cut")
     )
 
@@ -153,7 +153,7 @@ def evened(placed: DataFrame, quotas: DataFrame, buckets: int) -> DataFrame:
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query over all ``documents``, into shards 0 to 7 by the law ``rows``."""
-    got = sharded(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    got = sharded(spread(read_table(spark, sf_dir, "documents")).select("doc_id", "text"))
     return got.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "cut"
     )

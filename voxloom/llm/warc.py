@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import let
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 DATE = "2024-01-01T00:00:00Z"
 #: Fixed: elements without text of their own, elements that end a line, and named entities, ``&amp;`` last.
@@ -113,7 +113,7 @@ def write_warc(pages: DataFrame, path: str, date: str = DATE) -> None:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query over all ``pages``: every record, blocks as lengths and digests."""
-    got = derivatives(read_table(spark, sf_dir, "pages"))
+    got = derivatives(spread(read_table(spark, sf_dir, "pages")))
     return got.select(
         "page_id", "record_type", "record_id", "refers_to", F.col("url").alias("target_uri"), "content_type", "content_length", "block_digest",
         F.col("payload").alias("payload_digest"), F.sha2("header", 256).alias("header_sha256"), F.sha2("source", 256).alias("source_header_sha256"),
