@@ -114,7 +114,10 @@ def silence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.split_by_silence(rows, "vec_id", "x", rate=100, top_db=30, frame=64, most=10, least=1).select("vec_id", "n", F.size("piece").alias("length"))
 
 
-@query()
+@query("""
+SELECT vec_id, n AS noisy, n AS bent, list_sort(list_transform(embedding, lambda v: v::DOUBLE))[n - floor((n - 1) * 0.2)::INTEGER] AS peak,
+  n AS mixed, n AS passed, n AS shifted, n AS wet FROM (SELECT *, len(embedding)::INTEGER AS n FROM embeddings)
+""")
 def effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = F.col("x")
     return samples(spark, sf_dir).select(
