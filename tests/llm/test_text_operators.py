@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from voxloom.llm import decontaminate, jaccard_join, language_model, line_dedup, private_data, quality_rules
+from voxloom.llm import common, decontaminate, jaccard_join, language_model, line_dedup, private_data, quality_rules
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -118,6 +118,42 @@ def test_jaccard_near_copies_of_all_distances(spark, monkeypatch, frequent):
     assert 3 < len({c for _, c in got.values()}) < 150
 
 
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_components_of_chains_stars_and_single_links(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "MOST_LINKS", most)
+    links = [(-k, -k - 1) for k in range(40)] + [(100 + 7 * k % 50, 100 + 7 * (k + 1) % 50) for k in range(49)] + [(200, 300 + k) for k in range(30)] + [(400, 399), (500, 500)]
+    want = {-k: -40 for k in range(41)} | {100 + k: 100 for k in range(50)} | {200: 200} | {300 + k: 200 for k in range(30)} | {399: 399, 400: 399}
+    for some in (links, links[:0]):
+        got = common.components(spark.createDataFrame(some, "a long, b long"), "a", "b").collect()
+        assert len(got) == len({r["node"] for r in got}) and {r["node"]: r["root"] for r in got} == (want if some else {})
+
+
+def test_components_of_many_random_links():
+    rng = np.random.default_rng(2)
+    u, v = rng.integers(0, 3000, (2, 1500))
+    nodes, root = common.reached(u, v)
+    parent = dict(zip(nodes.tolist(), nodes.tolist(), strict=True))
+    for _ in range(len(u)):
+        before = dict(parent)
+        for x, y in zip(u.tolist(), v.tolist(), strict=True):
+            parent[x] = parent[y] = min(parent[x], parent[y])
+        if parent == before:
+            break
+    assert parent == dict(zip(nodes.tolist(), root.tolist(), strict=True)) and len(set(parent.values())) > 100
+
+
+def test_components_of_a_long_chain_take_few_jobs(spark):
+    """What the driver holds follows the jobs it runs: a round for each doubling of the chain would take more than a hundred."""
+    links = spark.createDataFrame([(k, k + 1) for k in range(300)], "a long, b long")
+    spark.sparkContext.setJobGroup("chain", "components of a chain")
+    try:
+        assert {r["root"] for r in common.components(links, "a", "b").collect()} == {0}
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(name, None)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain")) <= 10
+
+
 def test_pairs_of_lists_are_those_that_differ_in_component_and_pivot():
     import itertools
 

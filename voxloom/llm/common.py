@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -87,6 +89,12 @@ class Scratch:
         """Removes a written table that no later plan reads."""
         cls._remove(spark, path)
 
+    @staticmethod
+    def free(spark: SparkSession) -> None:
+        """Has the driver collect its garbage, for operators of many queries: only then do broadcasts and shuffle files of ended
+        queries go, and does its heap shrink again."""
+        spark._jvm.System.gc()
+
 
 def numbered(df: DataFrame, name: str, within: list[str], order: list[str], buckets: int) -> DataFrame:
     """``df`` with a gapless number from 0 in each group of ``within``, without a task for a whole group.
@@ -104,10 +112,42 @@ def numbered(df: DataFrame, name: str, within: list[str], order: list[str], buck
     return joined.withColumn(name, F.col(first) + F.col(at)).drop(bucket, first, at)
 
 
+#: Up to so many links (16 bytes each, and about 100 in passing) are followed by one task; more take rounds over all tasks.
+MOST_LINKS = 1_000_000
+
+
+def reached(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the nodes of the links, sorted, the smallest node that each can reach)."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(nodes))
+    while len(a):
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+        a, b = root[a], root[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+    return nodes, nodes[root]
+
+
+def reached_at_once(links: DataFrame) -> DataFrame:
+    """``(node, root)`` by a single task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        got += [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+        found = reached(*(np.concatenate(c) for c in zip(*got, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["node", "root"])
+
+    return links.coalesce(1).mapInArrow(run, "node long, root long")
+
+
 def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataFrame:
     """``(node, root)`` for every node of the undirected ``edges``; ``root`` is the smallest node it can reach.
 
-    Alternates the large-star and small-star steps of Kiveris et al. (2014) on DataFrames: each is one grouped
+    Few links are followed by one task: each round plans three queries, and what the driver holds follows the queries it plans.
+    Beyond that it alternates the large-star and small-star steps of Kiveris et al. (2014) on DataFrames: each is one grouped
     minimum and one join. Every round is a written table, so lineage stays short. A node with very many links only
     meets others in a grouped minimum, which is pre-aggregated, and in a join that adaptive execution may split."""
     spark = edges.sparkSession
@@ -115,7 +155,9 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataF
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"
     )
     before = now.count()
-    for _ in range(most_rounds if before else 0):
+    if before <= MOST_LINKS:
+        return reached_at_once(now)
+    for _ in range(most_rounds):
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -126,11 +168,11 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataF
         size = new.count()
         changed = size != before or new.join(now, ["u", "v"], "left_anti").limit(1).count() > 0
         Scratch.drop(spark, path)
+        Scratch.free(spark)
         now, path, before = new, new_path, size
         if not changed:
             break
     else:
-        if before:
-            raise RuntimeError("components: the links did not settle")
+        raise RuntimeError("components: the links did not settle")
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.union(stars.select(F.col("root").alias("node"), "root").distinct())

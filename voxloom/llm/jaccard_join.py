@@ -390,10 +390,10 @@ def unlabelled_alike(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 MOST_SENT = 400_000
 
 
-def few_of(sets: DataFrame, sids: DataFrame) -> DataFrame:
-    """Those of ``sets`` whose sid is in ``sids``."""
-    sids = Scratch.write(sids.distinct(), "sids")
-    return sets.join(F.broadcast(sids) if sids.count() <= MOST_SENT else sids, "sid", "left_semi")
+def few_of(sets: DataFrame, sids: DataFrame, most: int) -> DataFrame:
+    """Those of ``sets`` whose sid is in ``sids``, which has at most ``most`` rows."""
+    sids = sids.distinct()
+    return sets.join(F.broadcast(sids) if most <= MOST_SENT else sids, "sid", "left_semi")
 
 
 def full_sets(docs: DataFrame, pairs: DataFrame, chosen: DataFrame) -> tuple[DataFrame, str]:
@@ -503,8 +503,8 @@ def recentred(own: DataFrame, of: DataFrame, common: DataFrame, full: DataFrame)
     meeting = Scratch.write(pivot_pairs(loose, named).select("x", "y"), "meeting")
 
     def compared(pairs: DataFrame) -> DataFrame:
-        x, y = pairs.select(F.col("x").alias("sid")), pairs.select(F.col("y").alias("sid"))
-        return verified(pairs, few_of(full, x), few_of(full, y), hubs=True)
+        x, y, most = pairs.select(F.col("x").alias("sid")), pairs.select(F.col("y").alias("sid")), pairs.count()
+        return verified(pairs, few_of(full, x, most), few_of(full, y, most), hubs=True)
 
     met = Scratch.write(compared(meeting), "met")
     fitting = met.where(F.col("both") >= MOVES * F.greatest("xn", "yn")).join(named.withColumnRenamed("sid", "y"), "y")
@@ -596,6 +596,7 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     common = Scratch.write(common_postings(wide), "common")
     sets = Scratch.write(wide.select("doc_id", "n", "sid"), "sets")
     Scratch.drop(spark, wide_at)
+    Scratch.free(spark)
     chosen = Scratch.write(sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "chosen")
 
     by_common = Scratch.write(pivot_pairs(common), "by-common")
@@ -610,6 +611,7 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     own = Scratch.write(attachments(near), "own")
     moved, by_hub = recentred(own, members(own, roots), common, full)
     Scratch.drop(spark, full_at)
+    Scratch.free(spark)
     near = near.union(by_hub)
     # classes so far stand for their links
     links = roots.select(F.col("node").alias("x"), F.col("root").alias("y")).union(by_hub.where("linked").select("x", "y"))
@@ -619,6 +621,7 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
     nodes = near.select(F.col("x").alias("sid")).union(near.select("y")).distinct()
     labels = nodes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").join(attached.select(F.col("x").alias("sid"), "p"), "sid", "left")
     labels = Scratch.write(labels.select("sid", F.coalesce("root", "sid").alias("comp"), F.coalesce("p", "sid").alias("pivot")), "labels")
+    Scratch.free(spark)
     # what a pair shares among common shingles is not counted but bounded by how many of them the smaller prefix part has
     held = Scratch.write(common.groupBy("sid").agg(F.count("*").alias("k")), "held")
     across = rare_pairs(met.where("token IS NOT NULL"), labels)
@@ -626,13 +629,16 @@ def link_classes(docs: DataFrame, index_blocks: int | None = None) -> DataFrame:
         across = across.join(held.select(F.col("sid").alias(side), F.col("k").alias(f"{side}k")), side, "left")
     more = F.least(F.coalesce("xk", F.lit(0)), F.coalesce("yk", F.lit(0)))
     across = unlabelled_alike(possible(across.select("x", "xn", "y", "yn", (F.col("c") + more).alias("c"))).select("x", "y"), labels)
-    left = across.union(cross_pairs(common, labels)).union(unsettled_pairs(attached))
+    # written apart: one plan of all three has dozens of exchanges, which the driver would hold and start at the same time
+    found = [Scratch.write(across, "across"), Scratch.write(cross_pairs(common, labels), "cross"), Scratch.write(unsettled_pairs(attached), "unsettled")]
+    left = found[0].union(found[1]).union(found[2])
     left = left.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
     done = near.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
     pairs = Scratch.write(left.join(done, ["x", "y"], "left_anti"), "pairs")
     full, full_at = full_sets(docs, pairs, chosen)
     rest = Scratch.write(verified(pairs, full.where("as_x"), full.where("as_y")), "rest")
     Scratch.drop(spark, full_at)
+    Scratch.free(spark)
     links = roots.select(F.col("node").alias("x"), F.col("root").alias("y")).union(rest.where("linked").select("x", "y"))
     roots = Scratch.write(components(links, "x", "y"), "roots")
 
