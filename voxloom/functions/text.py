@@ -169,10 +169,11 @@ def metric_text(text: Column) -> Column:
     return collapse(F.regexp_replace(bare, r"[\p{M}\p{S}\p{P}]", " "))
 
 
-def padded(number: Column, width: int = 9) -> Column:
-    """A zero-padded ordinal; longer numbers are left whole."""
+def padded(number: Column, width: int = 9, fixed: bool = False) -> Column:
+    """A zero-padded ordinal; longer numbers are left whole. ``fixed``: they keep their first ``width`` digits, as SQL's lpad has it,
+    and are no longer told apart."""
     text = number.cast("string")
-    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+    return F.lpad(text, width, "0") if fixed else F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
 
 
 def guard(pred: Column, fixed: Column, wer: Column, most: float = 0.2) -> Column:
