@@ -3,12 +3,16 @@
 The scores of a row depend on the cell to the left only through a gap chain, so a row is filled as one numpy pass over the cells above
 and a running maximum along the row. Traceback prefers a pair, then a skipped reference word, then a skipped query word; the best
 cell is the first largest in row order. A gap extends only a positive neighbour.
+
+Many pairs are aligned together (``aligned_together``): the cells of an anti-diagonal need only the two before it, so that each
+numpy pass fills one diagonal of all the tables at once, in 16 bits where the scores fit. The results are those of one table at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -16,6 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PAIR, SKIP_REF, SKIP_QUERY = "m", "d", "i"
+#: Cells of the tables that are filled at a time; a larger table is filled alone.
+CELLS = 8 << 20
+#: A diagonal's numpy passes take about the time of so many cells besides their own; a row's of a single table, and each of its cells.
+PASS, ROW, CELL = 20_000, 30_000, 10
+#: Characters of the texts that are held as words at a time.
+CHARACTERS = 4 << 20
 RESULT = (
     "score int, q_pos int, r_pos int, q_end int, r_end int, matches int, mismatches int, gap_count int, cigar string, "
     "result_query string, result_ref string, accuracy_on_words double, accuracy_on_query double, overall_accuracy double"
@@ -50,7 +60,7 @@ class Aligned:
 NOTHING = Aligned(0, 0, 0, -1, -1, 0, 0, 0, "", "", "", 0.0, 0.0, 0.0)
 
 
-def codes(query: list[str], ref: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def codes(query: Sequence[str], ref: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Both sides as numbers that are equal where the words are, whatever their case."""
     known: dict[str, int] = {}
     both = [known.setdefault(w.upper(), len(known)) for w in (*query, *ref)]
@@ -70,7 +80,7 @@ def filled(q: np.ndarray, r: np.ndarray, s: Scores) -> np.ndarray:
     return table
 
 
-def traced(table: np.ndarray, q: np.ndarray, r: np.ndarray, s: Scores) -> tuple[list[str], int, int, int]:
+def traced(table: np.ndarray, q: np.ndarray, r: np.ndarray, s: Scores) -> tuple[str, int, int, int]:
     """(operations from the front, row, column, score) of the best local alignment."""
     score = int(table.max()) if table.size else 0
     row, col = divmod(int(table.argmax()), table.shape[1]) if score > 0 else (0, 0)
@@ -86,33 +96,118 @@ def traced(table: np.ndarray, q: np.ndarray, r: np.ndarray, s: Scores) -> tuple[
         else:
             out.append(SKIP_QUERY)
             row -= 1
-    return out[::-1], row, col, score
-
-
-def run_lengths(ops: list[str]) -> list[tuple[int, str]]:
-    out: list[tuple[int, str]] = []
-    for op in ops:
-        out[-1:] = [(out[-1][0] + 1, op)] if out and out[-1][1] == op else [*out[-1:], (1, op)]
-    return out
-
-
-def align_words(ref: list[str], query: list[str], s: Scores = Scores()) -> Aligned:
-    """Word level: extended to the left by reference words up to the query's first word or length, and to the right word by word."""
-    if not ref or not query:
-        return NOTHING
-    q, r = codes(query, ref)
-    ops, row, col, score = traced(filled(q, r, s), q, r, s)
+    return "".join(reversed(out)), row, col, score
+
+
+Codes = tuple[np.ndarray, np.ndarray]
+
+
+def single(n: int, m: int) -> int:
+    """The time of a single table filled by rows, in cells of tables filled together: short queries in long texts have few rows."""
+    return n * (ROW + CELL * m)
+
+
+def batches(sizes: list[tuple[int, int]]) -> Iterator[list[int]]:
+    """Positions of pairs of like sizes, so that filling them up to the largest costs less than a batch of their own would."""
+    held: list[int] = []
+    rows = cols = 0
+    for k in sorted(range(len(sizes)), key=lambda k: (int(4 * np.log2(sizes[k][0] + 1)), sizes[k][1])):
+        n, m = max(rows, sizes[k][0]), max(cols, sizes[k][1])
+        more = (n * m - rows * cols) * len(held) + n * m - sizes[k][0] * sizes[k][1]
+        if held and (n * m * (len(held) + 1) > CELLS or more > min(PASS * sum(sizes[k]), single(*sizes[k]))):
+            yield held
+            held, (n, m) = [], sizes[k]
+        held.append(k)
+        rows, cols = n, m
+    if held:
+        yield held
+
+
+def traced_together(pairs: list[Codes], s: Scores) -> list[tuple[str, int, int, int]]:
+    """``traced(filled(q, r, s), q, r, s)`` of each pair (q, r); codes are not negative."""
+    n, m, size = max(len(q) for q, _ in pairs), max(len(r) for _, r in pairs), len(pairs)
+    few = sum(single(len(q), len(r)) for q, r in pairs) < PASS * (n + m) + n * m * size
+    if few or s.gap >= 0 or s.mismatch >= 0:  # without losses, cells beyond a pair's own could hold the best
+        return [traced(filled(q, r, s), q, r, s) for q, r in pairs]
+    top = 1 + max(int(x.max(initial=0)) for both in pairs for x in both)
+    kind = np.int16 if max(top + 1, s.match * (min(n, m) + 1), s.match - s.mismatch, -s.gap) < 1 << 14 else np.int32
+    # filled up by codes that equal none; the reference runs backwards, as it does along a diagonal
+    down, back = np.full((n, size), top, kind), np.full((m, size), top + 1, kind)
+    for k, (q, r) in enumerate(pairs):
+        down[: len(q), k], back[m - len(r) :, k] = q, r[::-1]
+    lows, highs = np.maximum(np.arange(n + m + 1) - m, 0), np.minimum(np.arange(n + m + 1), n)
+    ends = np.cumsum((highs - lows + 1) * size)
+    flat, best, buffer = np.empty(int(ends[-1]), kind), np.zeros((n + 1, size), kind), np.empty((n, size), kind)
+    lines = [part.reshape(-1, size) for part in np.split(flat, ends[:-1])]
+    for d, here in enumerate(lines):
+        low, high = max(1, d - m), min(n, d - 1)
+        if d <= m:
+            here[0] = 0
+        if d <= n:
+            here[-1] = 0
+        if low > high:
+            continue
+        above, corner = lines[d - 1][low - 1 - lows[d - 1] :], lines[d - 2][low - 1 - lows[d - 2] :]
+        count = high - low + 1
+        own, other, out = buffer[:count], here[low - lows[d] :][:count], best[low : high + 1]
+        np.bitwise_xor(down[low - 1 : high], back[m - d + low : m - d + high + 1], out=own)
+        np.minimum(own, 1, out=own)
+        np.multiply(own, s.mismatch - s.match, out=own)
+        np.add(own, s.match, out=own)
+        np.add(own, corner[:count], out=own)
+        # a gap is negative, so a neighbour of zero extended by it is below zero
+        np.maximum(above[:count], above[1 : count + 1], out=other)
+        np.add(other, s.gap, out=other)
+        np.maximum(other, own, out=other)
+        np.maximum(other, 0, out=other)
+        np.maximum(out, other, out=out)
+    first = (np.concatenate([[0], ends[:-1]]) - lows * size).tolist()
+    cells, places = memoryview(flat), np.array(first)
+    found = []
+    for k, (row, score) in enumerate(zip(best.argmax(axis=0).tolist(), best.max(axis=0).tolist(), strict=True)):
+        if score <= 0:
+            found.append(("", 0, 0, 0))
+            continue
+        col = 1 + int((flat[places[row + 1 : row + m + 1] + (row * size + k)] == score).argmax())
+        q, r, here, ops = pairs[k][0].tolist(), pairs[k][1].tolist(), score, []
+        at = row * size + k
+        while here > 0:
+            corner = cells[first[row + col - 2] + at - size]
+            if here == corner + (s.match if q[row - 1] == r[col - 1] else s.mismatch):
+                ops.append(PAIR)
+                row, col, at, here = row - 1, col - 1, at - size, corner
+                continue
+            left = cells[first[row + col - 1] + at]
+            if left > 0 and here == left + s.gap:
+                ops.append(SKIP_REF)
+                col, here = col - 1, left
+            else:
+                ops.append(SKIP_QUERY)
+                row, at = row - 1, at - size
+                here = cells[first[row + col] + at]
+        ops.reverse()
+        found.append(("".join(ops), row, col, score))
+    return found
+
+
+def run_lengths(ops: Iterable[str]) -> list[tuple[int, str]]:
+    return [(sum(1 for _ in run), op) for op, run in groupby(ops)]
+
+
+def words_along(ref: list[str], query: list[str], q: list[int], r: list[int], found: tuple[str, int, int, int]) -> Aligned:
+    """What :func:`align_words` tells of a trace."""
+    ops, row, col, score = found
     lead = 0
     while len(ops) + lead < len(query) and col >= 0 and ref[col] != query[0]:
         lead, col = lead + 1, col - 1
     if col < 0:
         lead, col = lead - 1, 0
-    ops = [SKIP_REF] * lead + ops
+    ops = SKIP_REF * lead + ops
     i, j, matches, mismatches, gaps, n_q, n_r = col, row, 0, 0, 0, 0, 0
     out_q, out_r = [], []
 
     def pair() -> bool:
-        return bool(q[j] == r[i])
+        return q[j] == r[i]
 
     for op in ops:
         if op == PAIR:
@@ -141,36 +236,70 @@ def align_words(ref: list[str], query: list[str], s: Scores = Scores()) -> Align
     )
 
 
-def align_chars(ref: str, query: str, s: Scores = Scores()) -> Aligned:
-    """Character level: gaps count as mismatches, nothing is extended, ends are exclusive."""
-    if not ref or not query:
-        return NOTHING
-    q, r = codes(list(query), list(ref))
-    ops, row, col, score = traced(filled(q, r, s), q, r, s)
-    i, j, matches, gaps, out_q, out_r = col, row, 0, 0, [], []
-    for op in ops:
-        matches += op == PAIR and bool(q[j] == r[i])
-        gaps += op != PAIR
-        out_q.append("-" if op == SKIP_REF else query[j])
-        out_r.append("-" if op == SKIP_QUERY else ref[i])
-        i, j = i + (op != SKIP_QUERY), j + (op != SKIP_REF)
-    mismatches = len(ops) - matches
+def chars_along(ref: str, query: str, q: list[int], r: list[int], found: tuple[str, int, int, int]) -> Aligned:
+    """What :func:`align_chars` tells of a trace."""
+    ops, row, col, score = found
+    i, j, matches, out_q = col, row, 0, []
+    runs = run_lengths(ops)
+    for n, op in runs:
+        if op == PAIR:
+            matches += sum(a == b for a, b in zip(q[j : j + n], r[i : i + n], strict=True))
+        out_q.append("-" * n if op == SKIP_REF else query[j : j + n])
+        i, j = i + n * (op != SKIP_QUERY), j + n * (op != SKIP_REF)
+    gaps = sum(n for n, op in runs if op != PAIR)
     on_words = matches / len(ops) if ops else 0.0
     on_query = (j - row) / len(query)
-    stored = "".join(c for c, op in zip(out_r, ops, strict=True) if op != SKIP_QUERY)
-    cigar = "".join(f"{n}{op}" for n, op in run_lengths(ops))
-    return Aligned(score, row, col, j, i, matches, mismatches, gaps, cigar, "".join(out_q), stored, on_words, on_query, on_words * on_query)
+    cigar = "".join(f"{n}{op}" for n, op in runs)
+    return Aligned(score, row, col, j, i, matches, len(ops) - matches, gaps, cigar, "".join(out_q), ref[col:i], on_words, on_query, on_words * on_query)
+
+
+Side = list[str] | str
+
+
+def aligned_together(texts: list[tuple[Side, Side]], pairs: list[Codes], s: Scores, level: str) -> list[Aligned]:
+    """The alignment of each (ref, query), given their codes (query, ref)."""
+    along = words_along if level == "word" else chars_along
+    out = [NOTHING] * len(texts)
+    full = [k for k, (ref, query) in enumerate(texts) if ref and query]
+    for batch in batches([(len(pairs[k][0]), len(pairs[k][1])) for k in full]):
+        held = [full[k] for k in batch]
+        for k, found in zip(held, traced_together([pairs[k] for k in held], s), strict=True):
+            out[k] = along(*texts[k], pairs[k][0].tolist(), pairs[k][1].tolist(), found)
+    return out
+
+
+def align_words(ref: list[str], query: list[str], s: Scores = Scores()) -> Aligned:
+    """Word level: extended to the left by reference words up to the query's first word or length, and to the right word by word."""
+    return aligned_together([(ref, query)], [codes(query, ref)], s, "word")[0]
+
+
+def align_chars(ref: str, query: str, s: Scores = Scores()) -> Aligned:
+    """Character level: gaps count as mismatches, nothing is extended, ends are exclusive."""
+    return aligned_together([(ref, query)], [codes(query, ref)], s, "char")[0]
 
 
 def align_column(ref: Column, query: Column, level: str = "word", s: Scores = Scores()) -> Column:
     """A struct of ``RESULT`` for two text columns."""
 
     def run(refs: pd.Series, queries: pd.Series) -> pd.DataFrame:
-        rows = []
+        split: Callable[[str], Side] = str.split if level == "word" else str.strip
+        rows: list[Aligned] = []
+        texts: list[tuple[Side, Side]] = []
+        size = 0
+
+        def align() -> None:
+            rows.extend(aligned_together(texts, [codes(query, ref) for ref, query in texts], s, level))
+            texts.clear()
+
         for a, b in zip(refs, queries, strict=True):
             a, b = a or "", b or ""
-            rows.append(vars(align_words(a.split(), b.split(), s) if level == "word" else align_chars(a.strip(), b.strip(), s)))
-        return pd.DataFrame(rows, columns=list(Aligned.__dataclass_fields__))
+            texts.append((split(a), split(b)))
+            size += len(a) + len(b)
+            if size > CHARACTERS:
+                align()
+                size = 0
+        align()
+        return pd.DataFrame([tuple(vars(a).values()) for a in rows], columns=list(Aligned.__dataclass_fields__))
 
     return F.pandas_udf(run, RESULT)(ref, query)
 
