@@ -1,5 +1,6 @@
 """What shows only on tables larger than the smallest ones."""
 
+import random
 import sys
 import time
 from pathlib import Path
@@ -57,3 +58,25 @@ def test_many_pairs_take_fewer_passes_than_tables_of_their_own():
     began = time.process_time()
     alone = [A.traced(A.filled(*p, A.Scores()), *p, A.Scores()) for p in pairs[:40]]
     assert together[:40] == alone and spent / 200 < (time.process_time() - began) / 40 / 2
+
+
+def test_recordings_side_by_side_equal_single_ones(spark, monkeypatch):
+    monkeypatch.setattr(A, "CHARACTERS", 300)
+    rng = random.Random(2)
+    targets, chunks = [], []
+    for n in range(25):
+        words = [f"w{rng.randint(0, 30)}" for _ in range(40)]
+        targets.append((f"r{n}", " ".join(words)))
+        for k in range(6):
+            part = [w if rng.random() < 0.95 else "zz" for w in words[6 * k : 6 * k + rng.randint(1, 8)]]
+            chunks.append((f"r{n}", k, f"{k}.txt", " ".join(part) if k != 3 else None))
+    targets.append(("silent", "w1 w2 w3"))
+    chunks.append(("untold", 0, "0.txt", "w1 w2 w3"))
+    got = A.align_recordings(spark.createDataFrame(targets, "rec string, text string"), spark.createDataFrame(chunks, "rec string, ord int, file_name string, text string"))
+    assert "MapInPandas" in got._jdf.queryExecution().toString()  # no call of Python for each recording
+    want = [
+        (rec, name, tier, kept, a.overall_accuracy, a.r_pos)
+        for rec, text in targets
+        for name, tier, kept, a in A.aligned_chunks(text, [(c[2], c[3] or "") for c in chunks if c[0] == rec])
+    ]
+    assert sorted(map(tuple, got.select("rec", "file_name", "tier", "text", "accuracy", "r_pos").collect())) == sorted(want) and len(want) > 60

@@ -10,7 +10,7 @@ numpy pass fills one diagonal of all the tables at once, in 16 bits where the sc
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Generator, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -328,14 +328,14 @@ class Policy:
     terminate: int = 100
 
 
-def aligned_chunks(target: str, chunks: list[tuple[str, str]], p: Policy = Policy()) -> Iterator[tuple[str, str, str, Aligned]]:
-    """(file_name, tier, text, alignment) for the chunks, in order, that found a place.
+Placed = tuple[str, str, str, Aligned]
 
-    Until the first chunk moves the cursor the whole text is searched; then a window from the cursor, which grows by ``cumulate``
-    with each chunk that does not move it. Too many failures in a row before that first move end the recording."""
-    split: Callable[[str], list[str] | str] = str.split if p.level == "word" else str.strip
-    align = align_words if p.level == "word" else align_chars
-    text = split(target)
+
+def walk(target: str, chunks: list[tuple[str, str]], p: Policy, out: list[Placed]) -> Generator[tuple[Side, Side, Codes], Aligned, None]:
+    """Asks for one alignment (ref, query, codes) after the other, and adds what found a place to ``out``."""
+    split: Callable[[str], Side] = str.split if p.level == "word" else str.strip
+    text, known = split(target), {}
+    told = np.array([known.setdefault(w.upper(), len(known)) for w in text], np.int64)
     cursor, space, fails, moved = -1, p.space, 0, False
     for name, raw in chunks:
         if fails > p.terminate and not moved:
@@ -344,7 +344,8 @@ def aligned_chunks(target: str, chunks: list[tuple[str, str]], p: Policy = Polic
         if len(query) < p.skip:
             space += p.cumulate
             continue
-        a = align(text if cursor == -1 else text[cursor : cursor + space], query, p.scores)
+        window = slice(None) if cursor == -1 else slice(cursor, cursor + space)
+        a = yield text[window], query, (np.array([known.setdefault(w.upper(), len(known)) for w in query], np.int64), told[window])
         tier = "perfect" if a.overall_accuracy == 1 else "accepted" if a.overall_accuracy >= p.accepted else "pending" if a.overall_accuracy >= p.pending else ""
         if not tier:
             fails += 1
@@ -353,34 +354,77 @@ def aligned_chunks(target: str, chunks: list[tuple[str, str]], p: Policy = Polic
         fails = 0
         gapped = tier != "perfect" and SKIP_QUERY in a.cigar
         if not gapped:
-            yield name, tier, a.result_ref, a
+            out.append((name, tier, a.result_ref, a))
         elif a.mismatches <= len(query) / 10 + 1:
-            yield name, tier, a.result_query, a
+            out.append((name, tier, a.result_query, a))
         if len(query) > p.cut * (2 if tier == "pending" else 1):
             cursor, space, moved = cursor + a.r_end, p.space, True
         else:
             space += p.cumulate
 
 
+def placed_together(recordings: list[tuple[str, list[tuple[str, str]]]], p: Policy = Policy()) -> list[list[Placed]]:
+    """:func:`aligned_chunks` of each (target, chunks): the recordings go side by side, a chunk of each at a time."""
+    out: list[list[Placed]] = [[] for _ in recordings]
+    walks = [walk(target, chunks, p, placed) for (target, chunks), placed in zip(recordings, out, strict=True)]
+    asked = [(w, got) for w in walks if (got := next(w, None))]
+    while asked:
+        answers = aligned_together([got[:2] for _, got in asked], [got[2] for _, got in asked], p.scores, p.level)
+        asked = [(w, got) for (w, _), a in zip(asked, answers, strict=True) if (got := answered(w, a))]
+    return out
+
+
+def answered(w: Generator, a: Aligned) -> tuple | None:
+    """What is asked next; none at the end."""
+    try:
+        return w.send(a)
+    except StopIteration:
+        return None
+
+
+def aligned_chunks(target: str, chunks: list[tuple[str, str]], p: Policy = Policy()) -> Iterator[Placed]:
+    """(file_name, tier, text, alignment) for the chunks, in order, that found a place.
+
+    Until the first chunk moves the cursor the whole text is searched; then a window from the cursor, which grows by ``cumulate``
+    with each chunk that does not move it. Too many failures in a row before that first move end the recording."""
+    yield from placed_together([(target, chunks)], p)[0]
+
+
 ALIGNED = "rec string, file_name string, tier string, gap_class string, text string, accuracy double, r_pos int, r_end int, mismatches int, gap_count int"
 
 
 def align_recordings(targets: DataFrame, queries: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """The windowed alignment join of targets (rec, text) and queries (rec, ord, file_name, text).
 
-    Sequential in a recording, parallel over recordings; a target travels once to its recording's task. Recordings without a
-    target give no rows (see :func:`voxloom.operators.manifest.unmatched`)."""
+    Sequential in a recording, parallel over recordings; a target travels once to its recording's task. A task reads its recordings
+    in order, and aligns as many side by side as have ``CHARACTERS`` together. Recordings without a target give no rows (see
+    :func:`voxloom.operators.manifest.unmatched`)."""
 
-    def run(key: tuple, target: pd.DataFrame, chunks: pd.DataFrame) -> pd.DataFrame:
-        names = [f.strip().split(" ")[0] for f in ALIGNED.split(",")]
-        if target.empty or chunks.empty:
-            return pd.DataFrame(columns=names)
-        ordered = chunks.sort_values(["ord", "file_name"])
+    def placed(held: list[tuple[str, str, list[tuple[str, str]]]]) -> pd.DataFrame:
         rows = [
-            (key[0], name, tier, None if tier == "perfect" else "gap" if "-" in text else "nogap", text, a.overall_accuracy, a.r_pos, a.r_end, a.mismatches, a.gap_count)
-            for name, tier, text, a in aligned_chunks(target["text"].iloc[0] or "", list(zip(ordered["file_name"], ordered["text"].fillna(""), strict=True)), policy)
+            (rec, name, tier, None if tier == "perfect" else "gap" if "-" in text else "nogap", text, a.overall_accuracy, a.r_pos, a.r_end, a.mismatches, a.gap_count)
+            for (rec, *_), found in zip(held, placed_together([h[1:] for h in held], policy), strict=True)
+            for name, tier, text, a in found
         ]
-        return pd.DataFrame(rows, columns=names)
+        return pd.DataFrame(rows, columns=[f.strip().split(" ")[0] for f in ALIGNED.split(",")])
 
-    left = targets.select("rec", "text").groupBy("rec")
-    return left.cogroup(queries.select("rec", "ord", "file_name", "text").groupBy("rec")).applyInPandas(run, ALIGNED)
+    def run(tables: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[str, str, list[tuple[str, str]]]] = []
+        size = 0
+        for table in tables:
+            for rec, chunk, name, text in zip(table["rec"], table["_chunk"], table["file_name"], table["text"], strict=True):
+                known = bool(held) and held[-1][0] == rec
+                if not chunk and not known:
+                    if size > CHARACTERS:
+                        yield placed(held)
+                        held, size = [], 0
+                    held.append((rec, text or "", []))
+                elif chunk and known:
+                    held[-1][2].append((name, text or ""))
+                size += len(text or "")
+        yield placed(held)
+
+    none = [F.lit(None).cast(queries.schema[c].dataType).alias(c) for c in ("ord", "file_name")]
+    first = targets.select("rec", F.lit(False).alias("_chunk"), *none, "text")
+    rows = first.union(queries.select("rec", F.lit(True).alias("_chunk"), "ord", "file_name", "text")).repartition("rec")
+    return rows.sortWithinPartitions("rec", "_chunk", F.asc_nulls_last("ord"), F.asc_nulls_last("file_name")).mapInPandas(run, ALIGNED)
