@@ -3,10 +3,12 @@
 import random
 import sys
 import time
+import tracemalloc
 from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -15,6 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from voxloom import plans
 from voxloom.operators import alignment as A
+from voxloom.operators import audio as W
 
 
 def test_names_of_long_ordinals_equal_their_sql(spark, tmp_path):
@@ -80,3 +83,15 @@ def test_recordings_side_by_side_equal_single_ones(spark, monkeypatch):
         for name, tier, kept, a in A.aligned_chunks(text, [(c[2], c[3] or "") for c in chunks if c[0] == rec])
     ]
     assert sorted(map(tuple, got.select("rec", "file_name", "tier", "text", "accuracy", "r_pos").collect())) == sorted(want) and len(want) > 60
+
+
+def test_samples_are_not_held_as_numbers_of_python():
+    rows = [[1.0, None, 0.5], None, [], [0.25]]
+    assert W.lists(W.each(pa.array(rows, pa.list_(pa.float64())))).to_pylist() == rows
+    assert W.lists(W.each(pa.array(rows, pa.list_(pa.float64())).slice(1, 3))).to_pylist() == rows[1:]
+    values = pa.FixedSizeListArray.from_arrays(pa.array(np.arange(1e6)), 500).cast(pa.list_(pa.float64()))
+    tracemalloc.start()
+    out = W.lists(x * 2 for x in W.each(values))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 2000 and peak < 24e6  # lists of a million numbers take 32 MB, and they were held for each effect

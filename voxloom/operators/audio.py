@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import io
 import wave
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,21 @@ from voxloom.operators.sampling import draw, random_index, uniform
 RATE = 16000
 
 
+def each(arrays: pa.Array) -> Iterator[np.ndarray | None]:
+    """The samples of each row where they lie in the Arrow array; None for null."""
+    ends, values = arrays.offsets.to_numpy(), arrays.values.to_numpy(zero_copy_only=False)
+    for k, valid in enumerate(arrays.is_valid().to_pylist()):
+        yield np.asarray(values[ends[k] : ends[k + 1]], float) if valid else None
+
+
+def lists(rows: Iterable[np.ndarray | None]) -> pa.Array:
+    """Rows of samples as an Arrow array: 8 bytes a sample, where lists of Python's numbers take 32."""
+    held = list(rows)
+    ends = np.cumsum([0, *(0 if x is None else len(x) for x in held)]).astype(np.int32)
+    values = pa.array(np.concatenate([np.empty(0), *(x for x in held if x is not None)]), pa.float64(), from_pandas=True)
+    return pa.ListArray.from_arrays(ends, values, mask=pa.array([x is None for x in held], pa.bool_()))
+
+
 def wav_header(content: Column) -> Column:
     """(rate, channels, frames, seconds) from WAV bytes; null where they are none."""
 
@@ -39,7 +55,7 @@ def decodable(content: Column) -> Column:
     return wav_header(content)["frames"].isNotNull()
 
 
-def decoded(blob: bytes | None, rate: int = RATE, offset: float = 0.0, seconds: float | None = None) -> list[float] | None:
+def decoded(blob: bytes | None, rate: int = RATE, offset: float = 0.0, seconds: float | None = None) -> np.ndarray | None:
     """Mono samples in [-1, 1) of 16-bit PCM, cut and resampled linearly; null for other bytes."""
     try:
         with wave.open(io.BytesIO(blob or b"")) as w:
@@ -52,16 +68,16 @@ def decoded(blob: bytes | None, rate: int = RATE, offset: float = 0.0, seconds:
     except (wave.Error, EOFError):
         return None
     if own == rate or not len(mono):
-        return mono.tolist()
+        return mono
     n = int(round(len(mono) * rate / own))
-    return np.interp(np.arange(n) * own / rate, np.arange(len(mono)), mono).tolist()
+    return np.interp(np.arange(n) * own / rate, np.arange(len(mono)), mono)
 
 
 def wav_samples(content: Column, rate: int = RATE, offset: float = 0.0, seconds: float | None = None) -> Column:
-    def run(blobs: pd.Series) -> pd.Series:
-        return blobs.map(lambda b: decoded(b, rate, offset, seconds))
+    def run(blobs: pa.Array) -> pa.Array:
+        return lists(decoded(b.as_py(), rate, offset, seconds) for b in blobs)
 
-    return F.pandas_udf(run, "array<double>")(content)
+    return F.arrow_udf(run, "array<double>")(content)
 
 
 def wav_bytes(samples: Column, rate: int = RATE) -> Column:
@@ -78,10 +94,10 @@ def wav_bytes(samples: Column, rate: int = RATE) -> Column:
             w.writeframes((np.clip(np.asarray(values, float), -1, 32767 / 32768) * 32768).round().astype("<i2").tobytes())
         return out.getvalue()
 
-    def run(arrays: pd.Series) -> pd.Series:
-        return arrays.map(one)
+    def run(arrays: pa.Array) -> pa.Array:
+        return pa.array([one(x) for x in each(arrays)], pa.binary())
 
-    return F.pandas_udf(run, "binary")(samples)
+    return F.arrow_udf(run, "binary")(samples)
 
 
 def chunk_rows(audio: DataFrame, key: str, samples: str, size: int) -> DataFrame:
@@ -135,7 +151,7 @@ def split_by_silence(
             for k, x in zip(table[key], table[samples], strict=True):
                 if x is not None:
                     found, _ = silence_pieces(np.asarray(x, float), rate, top_db, frame, most, least)
-                    rows += [(k, n, piece.tolist()) for n, piece in enumerate(found, 1)]
+                    rows += [(k, n, piece) for n, piece in enumerate(found, 1)]
             yield pd.DataFrame(rows, columns=[key, "n", "piece"])
 
     kind = audio.select(key).schema[0].dataType.simpleString()
@@ -172,37 +188,33 @@ def with_noise(samples: Column, seed: int, key: Column, least_db: float = 1.0, m
     """Gaussian noise at a signal-to-noise ratio drawn for the key."""
     level = uniform(seed, key) * (most_db - least_db) + least_db
 
-    def run(arrays: pd.Series, levels: pd.Series, draws: pd.Series) -> pd.Series:
-        out = []
-        for x, db, d in zip(arrays, levels, draws, strict=True):
-            if x is None:
-                out.append(None)
-                continue
-            x = np.asarray(x, float)
-            power = np.sqrt(np.mean(x**2)) if len(x) else 0.0
-            noise = np.random.default_rng(int(d) & ((1 << 63) - 1)).normal(0.0, power / 10 ** (db / 20), len(x))
-            out.append((x + noise).tolist())
-        return pd.Series(out)
+    def one(x: np.ndarray | None, db: float, d: int) -> np.ndarray | None:
+        if x is None:
+            return None
+        power = np.sqrt(np.mean(x**2)) if len(x) else 0.0
+        return x + np.random.default_rng(int(d) & ((1 << 63) - 1)).normal(0.0, power / 10 ** (db / 20), len(x))
+
+    def run(arrays: pa.Array, levels: pa.Array, draws: pa.Array) -> pa.Array:
+        return lists(one(*row) for row in zip(each(arrays), levels.to_numpy(zero_copy_only=False), draws.to_pylist(), strict=True))
 
-    return F.pandas_udf(run, "array<double>")(samples, level, draw(seed, key))
+    return F.arrow_udf(run, "array<double>")(samples, level, draw(seed, key))
 
 
 def with_tanh(samples: Column, strength: Column | float) -> Column:
     """Tanh distortion that keeps the root mean square of the input."""
 
-    def run(arrays: pd.Series, by: pd.Series) -> pd.Series:
-        def one(x, s: float):
-            if x is None:
-                return None
-            x = np.asarray(x, float)
-            peak = np.quantile(np.abs(x), 0.99 - 0.98 * s) if len(x) else 0.0
-            bent = np.tanh(x / (peak + 1e-6))
-            old, new = (np.sqrt(np.mean(v**2)) if len(v) else 0.0 for v in (x, bent))
-            return (bent * (old / new if new > 1e-9 else 1.0)).tolist()
+    def one(x: np.ndarray | None, s: float) -> np.ndarray | None:
+        if x is None:
+            return None
+        peak = np.quantile(np.abs(x), 0.99 - 0.98 * s) if len(x) else 0.0
+        bent = np.tanh(x / (peak + 1e-6))
+        old, new = (np.sqrt(np.mean(v**2)) if len(v) else 0.0 for v in (x, bent))
+        return bent * (old / new if new > 1e-9 else 1.0)
 
-        return pd.Series([one(x, s) for x, s in zip(arrays, by, strict=True)])
+    def run(arrays: pa.Array, by: pa.Array) -> pa.Array:
+        return lists(one(*row) for row in zip(each(arrays), by.to_numpy(zero_copy_only=False), strict=True))
 
-    return F.pandas_udf(run, "array<double>")(samples, strength if isinstance(strength, Column) else F.lit(float(strength)))
+    return F.arrow_udf(run, "array<double>")(samples, strength if isinstance(strength, Column) else F.lit(float(strength)))
 
 
 def with_clipping(samples: Column, percent: int) -> Column:
@@ -217,17 +229,17 @@ def with_clipping(samples: Column, percent: int) -> Column:
 def with_background(samples: Column, noise: Column, snr_db: Column | float) -> Column:
     """Noise, repeated or cut to length and polarity inverted, mixed in at a signal-to-noise ratio."""
 
-    def run(arrays: pd.Series, noises: pd.Series, levels: pd.Series) -> pd.Series:
-        def one(x, y, db: float):
-            if x is None or y is None or not len(y):
-                return None if x is None else list(x)
-            x, y = np.asarray(x, float), -np.resize(np.asarray(y, float), len(x))
-            a, b = (np.sqrt(np.mean(v**2)) if len(v) else 0.0 for v in (x, y))
-            return (x + y * (a / b / 10 ** (db / 20) if b > 1e-12 else 0.0)).tolist()
+    def one(x: np.ndarray | None, y: np.ndarray | None, db: float) -> np.ndarray | None:
+        if x is None or y is None or not len(y):
+            return x
+        y = -np.resize(y, len(x))
+        a, b = (np.sqrt(np.mean(v**2)) if len(v) else 0.0 for v in (x, y))
+        return x + y * (a / b / 10 ** (db / 20) if b > 1e-12 else 0.0)
 
-        return pd.Series([one(*r) for r in zip(arrays, noises, levels, strict=True)])
+    def run(arrays: pa.Array, noises: pa.Array, levels: pa.Array) -> pa.Array:
+        return lists(one(*row) for row in zip(each(arrays), each(noises), levels.to_numpy(zero_copy_only=False), strict=True))
 
-    return F.pandas_udf(run, "array<double>")(samples, noise, snr_db if isinstance(snr_db, Column) else F.lit(float(snr_db)))
+    return F.arrow_udf(run, "array<double>")(samples, noise, snr_db if isinstance(snr_db, Column) else F.lit(float(snr_db)))
 
 
 def filtered(x: np.ndarray, rate: int, low: float, high: float) -> np.ndarray:
@@ -273,10 +285,10 @@ def in_room(x: np.ndarray, rate: int, seconds: float, seed: int) -> np.ndarray:
 def by_kernel(samples: Column, kernel) -> Column:
     """A numpy function of one array over a column; nulls stay null, empty arrays stay empty."""
 
-    def run(arrays: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else kernel(np.asarray(x, float)).tolist() if len(x) else [] for x in arrays])
+    def run(arrays: pa.Array) -> pa.Array:
+        return lists(kernel(x) if x is not None and len(x) else x for x in each(arrays))
 
-    return F.pandas_udf(run, "array<double>")(samples)
+    return F.arrow_udf(run, "array<double>")(samples)
 
 
 def with_band_pass(samples: Column, low: float, high: float, rate: int = RATE) -> Column:
