@@ -12,12 +12,14 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from voxloom import plans
 from voxloom.operators import alignment as A
 from voxloom.operators import audio as W
+from voxloom.operators import vocabulary as Y
 
 
 def test_names_of_long_ordinals_equal_their_sql(spark, tmp_path):
@@ -95,3 +97,15 @@ def test_samples_are_not_held_as_numbers_of_python():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(out) == 2000 and peak < 24e6  # lists of a million numbers take 32 MB, and they were held for each effect
+
+
+def test_vocabulary_reads_the_documents_once(spark):
+    for name in ("vocab_count", "vocab_count_dedup"):
+        plan = plans.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan parquet") == 1 and "Union" not in plan
+
+
+@pytest.mark.parametrize("dedup,want", [(False, {"a b": 1, "a": 3, "b": 1, " c": 1, "c": 1, "": 1, None: 1}), (True, {"a b": 1, "a": 2, "b": 1, " c": 1, "c": 1, "": 1, None: 1})])
+def test_words_bring_their_syllables(spark, dedup, want):
+    rows = spark.createDataFrame([(["a b", "a", " c", "", None],), ([],), (None,)], "ws array<string>")
+    assert {r["word"]: r["num"] for r in Y.word_counts(rows, F.col("ws"), dedup).collect()} == want

@@ -11,12 +11,15 @@ from voxloom.operators.sampling import binary_pattern, draws_with_replacement
 
 
 def word_counts(rows: DataFrame, words: Column, dedup: bool = False) -> DataFrame:
-    """(word, num): compound words and their syllables. A word of one syllable counts as both, unless ``dedup``."""
-    each = rows.select(F.explode(words).alias("word"))
+    """(word, num): compound words and their syllables. A word of one syllable counts as both, unless ``dedup``.
+
+    Each word brings its syllables along, so that the rows are read and split once."""
     parts = F.split("word", " ")
-    syllables = each.where(F.size(parts) > 1) if dedup else each
-    spread = syllables.select(F.explode(parts).alias("word")).where("word <> ''")
-    return each.union(spread).groupBy("word").agg(F.count("*").alias("num"))
+    syllables = F.array_remove(F.coalesce(parts, F.array().cast("array<string>")), "")
+    if dedup:
+        syllables = F.when(F.size(parts) > 1, syllables).otherwise(F.array().cast("array<string>"))
+    each = rows.select(F.explode(words).alias("word"))
+    return each.select(F.explode(F.concat(F.array("word"), syllables)).alias("word")).groupBy("word").agg(F.count("*").alias("num"))
 
 
 def unseen_terms(vocabulary: DataFrame, seen: DataFrame, column: str = "word") -> DataFrame:
